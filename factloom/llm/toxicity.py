@@ -5,7 +5,7 @@ once with the toxic dictionary; the bytes that the toxic one saves tell how toxi
 function of the text's largest, two largest and mean savings gives the score.
 
 Both dictionaries are raw content of one size over the same ordinary words, so their lengths differ only by what the
-toxic one holds instead of filler: the segments (word parts of 5 to 12 bytes and whole words) that enough
+toxic one holds instead of filler: the segments (word beginnings and whole words) that enough
 distinct toxic texts hold (``support``) and that are ``RATIO`` times as frequent among toxic as among ordinary texts. Dictionaries from
 zstandard's own trainer mostly hold passages of single documents; windows then differ by chance.
 
@@ -30,11 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW_WORDS = 12
-ORDINARY_BYTES, TOXIC_BYTES = 32_768, 8_192
+ORDINARY_BYTES, TOXIC_BYTES = 98_304, 8_192
 RATIO = 6.0
 MAX_TOXIC, MAX_ORDINARY = 1_500, 3_000
 CUT = 0.7
-SEGMENTS = (5, 6, 7, 8, 9, 10, 12)
+#: Bytes of the word beginnings that may become segments, with the space before them.
+SEGMENTS = (4, 5, 6, 7, 8, 9, 10, 12)
 _STRIP = bytes(range(33, 48)) + b":;<=>?@[]^_`{|}~"
 
 
@@ -48,13 +49,13 @@ def windows(text: bytes) -> list[bytes]:
 
 
 def support(texts: int) -> int:
-    """How many distinct texts a segment needs: 3 of a few dozen texts, 8 of a hundred and more."""
-    return max(3, min(8, texts // 12))
+    """How many distinct texts a segment needs: 3 of a few dozen texts, 8 of a hundred, one in 40 of many."""
+    return max(3, min(8, texts // 12), texts // 40)
 
 
 def _segments(word: bytes) -> set[bytes]:
     w = b" " + word + b" "
-    return {w[i : i + k] for k in SEGMENTS for i in range(max(1, len(w) - k + 1))} | {w}
+    return {w[:k] for k in SEGMENTS if k < len(w)} | {w}
 
 
 def _words(text: bytes) -> set[bytes]:
@@ -83,12 +84,18 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
     def odds(n_toxic: int, n_ordinary: int) -> float:
         return (n_toxic + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (n_ordinary + 0.5)
 
+    telling = {s for s in likely if odds(in_toxic[s], in_ordinary[s]) >= RATIO}
+    inner = {s.strip() for s in telling}
+
+    def holds_telling(word: bytes) -> bool:
+        return any(word[i : i + k - 1] in inner for k in SEGMENTS for i in range(len(word)))
+
     segments: list[bytes] = []
-    for s in sorted((s for s in likely if odds(in_toxic[s], in_ordinary[s]) >= RATIO), key=lambda s: (-len(s), s)):
+    for s in sorted(telling, key=lambda s: (-len(s), s)):
         if not any(s in longer and in_toxic[longer] >= 0.8 * in_toxic[s] for longer in segments):
             segments.append(s)
     extra = b"".join(sorted(segments, key=lambda s: (in_toxic[s], s)))[-TOXIC_BYTES:]
-    common = [w for w, n in whole.items() if n >= least and odds(in_toxic[b" " + w + b" "], n) <= 1.5]
+    common = [w for w, n in whole.items() if n >= 3 and odds(in_toxic[b" " + w + b" "], n) <= 1.5 and not holds_telling(w)]
     base = b"".join(b" " + w for w in sorted(common, key=lambda w: (whole[w], w)))[-ORDINARY_BYTES:] + b" "
     return bytes(len(extra)) + base, extra + base
 
@@ -131,26 +138,25 @@ def feature_maker(ordinary: bytes, toxic: bytes):
     return features
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Newton's method with a small ridge."""
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])
     ridge = np.diag([1e-6] + [1e-2] * (x.shape[1] - 1))
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weight * (y - p)) - ridge @ w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def _best_cut(z: np.ndarray, y: np.ndarray) -> float:
+def _best_cut(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     """The value between two scores at which calling everything above it toxic has the best F1, half of it rightly."""
     order = np.argsort(-z, kind="stable")
-    z, hit = z[order], np.cumsum(y[order])
-    called = np.arange(1, len(z) + 1)
-    f1 = np.where(2 * hit >= called, 2 * hit / (called + y.sum()), 0.0)
+    z, hit, called = z[order], np.cumsum((y * weight)[order]), np.cumsum(weight[order])
+    f1 = np.where(2 * hit >= called, 2 * hit / (called + (y * weight).sum()), 0.0)
     f1[:-1][z[:-1] == z[1:]] = 0  # equal scores fall on one side
     i = int(f1.argmax())
     if not f1[i]:
@@ -158,7 +164,8 @@ def _best_cut(z: np.ndarray, y: np.ndarray) -> float:
     return float((z[i] + z[i + 1]) / 2) if i + 1 < len(z) else float(z[i]) - 1
 
 
-def train(toxic: list[bytes], ordinary: list[bytes]) -> Model:
+def train(toxic: list[bytes], ordinary: list[bytes], ordinary_weight: float = 1.0) -> Model:
+    """``ordinary_weight``: how many ordinary texts each of the sample stands for, against a toxic one."""
     toxic, ordinary = sorted(set(toxic)), sorted(set(ordinary))
     if len(toxic) < 2 or len(ordinary) < 2:
         return Model()
@@ -169,8 +176,9 @@ def train(toxic: list[bytes], ordinary: list[bytes]) -> Model:
             x += [features(t) for t in texts]
             y += [label] * len(texts)
     x, y = np.array(x), np.array(y, float)
-    weights = _logistic(x, y)
-    cut = _best_cut(weights[0] + x @ weights[1:], y)
+    weight = np.where(y == 1, 1.0, ordinary_weight)
+    weights = _logistic(x, y, weight)
+    cut = _best_cut(weights[0] + x @ weights[1:], y, weight)
     return Model(*train_dictionaries(toxic, ordinary), tuple(weights.tolist()), math.log(CUT / (1 - CUT)) - cut)
 
 
@@ -181,11 +189,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model of a bounded sample of the labelled rows outside the held-out fold."""
     marks = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    total = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = marks.filter("toxic = 1").orderBy(*order).limit(MAX_TOXIC).unionByName(marks.filter("toxic = 0").orderBy(*order).limit(MAX_ORDINARY))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect()  # MAX_TOXIC + MAX_ORDINARY ids at most
     rows.sort(key=lambda r: r.doc_id)
-    return train([(r.text or "").encode() for r in rows if r.toxic], [(r.text or "").encode() for r in rows if not r.toxic])
+    toxic, ordinary = ([(r.text or "").encode() for r in rows if r.toxic == label] for label in (1, 0))
+    weight = total.get(0, 0) / max(1, len(ordinary)) * len(toxic) / max(1, total.get(1, 0))
+    return train(toxic, ordinary, weight)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
