@@ -7,12 +7,11 @@ machine) a folder of our own is set.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.functions.storage import shared_folder, written  # noqa: F401
+
 #: The ASCII white space of all the text contracts: \x20 and \x09-\x0D.
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
@@ -22,24 +21,6 @@ BROADCAST_BYTES = 24 << 20
 NULL_ID = -(2**63)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The shared folder of this session, without a trailing slash."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="factloom-")
-        spark.sparkContext.setCheckpointDir(folder)
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/factloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def sized(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``small`` with a broadcast hint if its counted rows fit ``limit``; else as it is, for a shuffled join.
 
