@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import decontaminate, exactdedup, htmltext, jaccardjoin, linededup, mixing, sharding, toxicity, urlfilter
+from factloom.llm import decontaminate, exactdedup, htmltext, jaccardjoin, linededup, mixing, sharding, suffixdedup, toxicity, urlfilter
 from factloom.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op4_mixing, op5_url_filter, op6_line_dedup, op7_toxicity, op8_jaccard_join, op9_html_extraction, op10_decontamination)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_suffix_dedup, op4_mixing, op5_url_filter, op6_line_dedup, op7_toxicity, op8_jaccard_join, op9_html_extraction, op10_decontamination)}
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
