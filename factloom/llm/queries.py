@@ -50,7 +50,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_suffix_dedup, op4_mixing, op5_url_filter, op6_line_dedup, op7_toxicity, op8_jaccard_join, op9_html_extraction, op10_decontamination)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_suffix_dedup, op4_mixing, op5_url_filter, op6_line_dedup, op7_toxicity, op8_jaccard_join, op9_html_extraction, op10_decontamination, pipeline)}
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
