@@ -293,13 +293,15 @@ def _tree_pairs(members: DataFrame, t: Threshold) -> DataFrame:
 def components(docs: DataFrame, n: int, t: Threshold) -> DataFrame:
     """did, size, sid and label of each document: rows share a label if links or copies connect them."""
     rows = written(points(docs, n), "points")
-    sig = written(routed(docs, n, t), "digests")
     keyed = docs.select(doc_key().alias("did"), "text")
+    first = rows.filter("sid is not null").groupBy("sid").agg(F.min("did").alias("did"))
+    leaders = written(first.select("did").distinct(), "leaders")
+    # made twice from the texts: that costs less than a table of all digests, of which most are in no block
+    sig = routed(keyed.join(sized(leaders, 24), "did", "left_semi"), n, t)
     blocks_ = sig.groupBy("digest").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last")).filter("pivot < last").select("digest", "pivot")
     blocks_ = written(blocks_, "blocks")
-    members = written(sig.join(sized(blocks_, 40), "digest").distinct(), "members")
+    members = written(sig.join(sized(blocks_, 40), "digest"), "members")
     pairs = written(members.filter("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct(), "pairs")
-    first = rows.filter("sid is not null").groupBy("sid").agg(F.min("did").alias("did"))
     inside = members.select("sid").distinct()
     chosen = written(first.join(sized(written(inside, "inside"), 24), "sid"), "chosen")
     distinct = written(rows.join(sized(chosen, 32), ["sid", "did"]).select("sid", "size", "vector").dropDuplicates(["sid"]), "distinct")
