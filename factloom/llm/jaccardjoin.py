@@ -10,7 +10,7 @@ Let t be the threshold (a ratio of integers). Two sets link when |A & B| >= t |A
    that hold nothing are sent only by sets with many of them, which keeps the routing lossless (see ``SizeClass``).
    A passage that many texts share fills no whole group and makes no digests equal.
 3. *First round.* In each block of equal digests the smallest set is compared to the others: one pair for each member,
-   not one for each pair. Pairs whose vectors' coordinate minima sum to less than the needed overlap go at once; the
+   not one for each pair; first the pair of each set that shares most blocks, then those between components. Pairs whose vectors' coordinate minima sum to less than the needed overlap go at once; the
    others are verified on their sets. Links make components.
 4. *Second round.* Blocks whose members are still in several components are joined by an R-tree over their
    count vectors: a node's largest coordinates and smallest size bound the overlap of all below it. Only pairs between
@@ -18,7 +18,7 @@ Let t be the threshold (a ratio of integers). Two sets link when |A & B| >= t |A
    pages is a task of its own.
 5. Components of all links; members of one set id share theirs.
 
-Blocks are made by aggregates with map-side combining and by joins that Spark can split where a digest is frequent.
+All digests are shuffled once, 16 bytes each; a task streams its sorted digests and keeps those that several sets send.
 
 Defined results: null and empty texts and texts without words have an empty set and link with nothing; a text of fewer
 words than a shingle is one shingle; a null doc_id counts as the lowest; repeated rows are copies; extra columns pass.
@@ -46,6 +46,8 @@ CLASS_RATIO = 1.5
 #: Members of a block that one R-tree holds.
 PAGE = 512
 FANOUT = 16
+#: Sets of a page when pairs are verified.
+TASK_SETS = 256
 
 
 @dataclass(frozen=True)
@@ -180,6 +182,37 @@ def routed(docs: DataFrame, n: int, t: Threshold) -> DataFrame:
     return docs.select("text").mapInArrow(scan, "digest long, sid long")
 
 
+def blocks_of(sig: DataFrame) -> DataFrame:
+    """(digest, sid, pivot) of the digests that several sets send; the pivot is the block's smallest sid.
+
+    The only shuffle of all digests. Each task streams its sorted rows and holds one of them at a time, so neither a
+    frequent digest nor a large task needs memory. A set that sent a digest twice (repeated rows) counts once.
+    """
+
+    def scan(batches):
+        held = None  # the last row: digest, sid, pivot, whether its block has an earlier row
+        for batch in batches:
+            d, s = (batch.column(c).to_numpy() for c in ("digest", "sid"))
+            if held:
+                d, s = np.append(held[0], d), np.append(held[1], s)
+            if not len(d):
+                continue
+            again = np.append(False, (d[1:] == d[:-1]) & (s[1:] == s[:-1]))
+            d, s = d[~again], s[~again]
+            follows = np.append(bool(held and held[3]), d[1:] == d[:-1])
+            start = np.maximum.accumulate(np.where(np.append(True, d[1:] != d[:-1]), np.arange(len(d)), 0))
+            pivot = s[start]
+            if held:
+                pivot[start == 0] = held[2]
+            inside = np.flatnonzero(follows[:-1] | follows[1:])
+            held = (d[-1], s[-1], pivot[-1], follows[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(x[inside]) for x in (d, s, pivot)], ["digest", "sid", "pivot"])
+        if held and held[3]:
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held[:3]], ["digest", "sid", "pivot"])
+
+    return sig.repartition("digest").sortWithinPartitions("digest", "sid").mapInArrow(scan, "digest long, sid long, pivot long")
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(sid, hashes) of the wanted set ids."""
 
@@ -228,26 +261,38 @@ class CountVectorTree:
         return self.order[at]
 
 
-def _overlap(a: bytes, b: bytes) -> int:
-    return len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
+def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
+    """The (a, b) of ``pairs`` (region, a, b), a written table, that link.
 
+    Sets are large next to pairs, so a set is sent once for each task that has pairs of it, not once for each pair. A task holds the
+    pairs between two pages of a region or all those of some small regions.
+    """
 
-def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
-    """The (a, b) of ``pairs`` that link."""
+    def ends(df, *keys):
+        return df.select(*keys, F.col("a").alias("sid")).unionByName(df.select(*keys, F.col("b").alias("sid"))).distinct()
 
-    def verify(batches):
-        for batch in batches:
-            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            linked = [t.linked(_overlap(p, q), len(p) // 8, len(q) // 8) for p, q in zip(x, y, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
+    pages = written(ends(pairs, "region").groupBy("region").agg(F.count(F.lit(1)).alias("n")), "pages")
+    tasks = (pages.agg(F.sum("n")).first()[0] or 0) // TASK_SETS + 1
+
+    def page(c):
+        return F.pmod(F.xxhash64(c), F.ceil(F.col("n") / TASK_SETS)).cast("int")
+
+    region = F.when(F.col("n") <= TASK_SETS, F.pmod(F.xxhash64("region"), F.lit(tasks))).otherwise(F.col("region"))
+    dealt = pairs.join(sized(pages, 24), "region").select(region.alias("region"), F.least(page("a"), page("b")).alias("low"), F.greatest(page("a"), page("b")).alias("high"), "a", "b")
+    dealt = written(dealt, "dealt")
 
-    x = sets.select(F.col("sid").alias("a"), F.col("hashes").alias("x"))
-    y = sets.select(F.col("sid").alias("b"), F.col("hashes").alias("y"))
-    return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    def verify(part, held):
+        of = {i: np.frombuffer(h, np.uint64) for i, h in zip(held.column("sid").to_pylist(), held.column("hashes").to_pylist(), strict=True)}
+        both = zip(part.column("a").to_pylist(), part.column("b").to_pylist(), strict=True)
+        linked = [t.linked(len(np.intersect1d(of[a], of[b], assume_unique=True)), len(of[a]), len(of[b])) for a, b in both]
+        return part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    held = ends(dealt.select(F.col("region").alias("r"), F.col("low").alias("l"), F.col("high").alias("h"), "a", "b"), "r", "l", "h").join(sets, "sid")
+    return dealt.groupBy("region", "low", "high").cogroup(held.groupBy("r", "l", "h")).applyInArrow(verify, "a long, b long")
 
 
 def _bounded(pairs: DataFrame, distinct: DataFrame, t: Threshold) -> DataFrame:
-    """Pairs that the sum of coordinate minima lets through."""
+    """Those of ``pairs`` (a, b, shared) that the sum of coordinate minima lets through."""
 
     def bound(batches):
         for batch in batches:
@@ -256,11 +301,24 @@ def _bounded(pairs: DataFrame, distinct: DataFrame, t: Threshold) -> DataFrame:
                 total = batch.column("s").to_numpy() + batch.column("r").to_numpy()
                 low = np.minimum(v, w).astype(np.int64).sum(axis=1)
                 full = (v == 65535).any(axis=1) | (w == 65535).any(axis=1)  # counts that did not fit bound nothing
-                yield batch.select(["a", "b"]).filter(pa.array((low >= t.needed(total)) | full))
+                yield batch.select(["a", "b", "shared"]).filter(pa.array((low >= t.needed(total)) | full))
 
     x = distinct.select(F.col("sid").alias("a"), F.col("size").alias("s"), F.col("vector").alias("v"))
     y = distinct.select(F.col("sid").alias("b"), F.col("size").alias("r"), F.col("vector").alias("w"))
-    return pairs.join(y, "b").join(x, "a").select("a", "b", "s", "r", "v", "w").mapInArrow(bound, "a long, b long")
+    return pairs.join(y, "b").join(x, "a").select("a", "b", "shared", "s", "r", "v", "w").mapInArrow(bound, "a long, b long, shared long")
+
+
+def _regions(pairs: DataFrame) -> DataFrame:
+    """(region, a, b): pairs that share a set are in one region."""
+    of = connected_components(pairs).select(F.col("node").alias("a"), F.col("component").alias("region"))
+    return written(pairs.join(sized(of, 32), "a").select("region", "a", "b"), "regions")
+
+
+def _apart(pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose sets are in different components."""
+    of_a = sized(near.select(F.col("node").alias("a"), F.col("component").alias("p")), 32)
+    of_b = sized(near.select(F.col("node").alias("b"), F.col("component").alias("q")), 32)
+    return pairs.join(of_a, "a", "left").join(of_b, "b", "left").filter(F.coalesce("p", "a") != F.coalesce("q", "b")).select("a", "b")
 
 
 def _tree_pairs(members: DataFrame, t: Threshold) -> DataFrame:
@@ -296,24 +354,30 @@ def components(docs: DataFrame, n: int, t: Threshold) -> DataFrame:
     keyed = docs.select(doc_key().alias("did"), "text")
     first = rows.filter("sid is not null").groupBy("sid").agg(F.min("did").alias("did"))
     leaders = written(first.select("did").distinct(), "leaders")
-    # made twice from the texts: that costs less than a table of all digests, of which most are in no block
     sig = routed(keyed.join(sized(leaders, 24), "did", "left_semi"), n, t)
-    blocks_ = sig.groupBy("digest").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last")).filter("pivot < last").select("digest", "pivot")
-    blocks_ = written(blocks_, "blocks")
-    members = written(sig.join(sized(blocks_, 40), "digest"), "members")
-    pairs = written(members.filter("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct(), "pairs")
+    members = written(blocks_of(sig), "members")
+    pairs = written(members.filter("sid <> pivot").groupBy(F.col("pivot").alias("a"), F.col("sid").alias("b")).agg(F.count(F.lit(1)).alias("shared")), "pairs")
     inside = members.select("sid").distinct()
     chosen = written(first.join(sized(written(inside, "inside"), 24), "sid"), "chosen")
     distinct = written(rows.join(sized(chosen, 32), ["sid", "did"]).select("sid", "size", "vector").dropDuplicates(["sid"]), "distinct")
-    sets = written(sets_of(keyed, chosen, n).join(sized(chosen.select("sid"), 24), "sid").dropDuplicates(["sid"]), "sets")
-    links = written(_verified(_bounded(pairs, distinct, t), sets, t), "links")
+    sets = written(sets_of(keyed, chosen, n).join(sized(chosen.select("sid"), 24), "sid"), "sets")
+    if sets.count() > chosen.count():  # repeated rows
+        sets = written(sets.dropDuplicates(["sid"]), "sets")
+    likely = written(_bounded(pairs, distinct, t), "likely")
+    # the pivot that shares most digests with a set connects most of a block; other pairs then count between components only
+    best = written(likely.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select(F.col("a").alias("region"), "a", "b"), "best")
+    links = written(_verified(best, sets, t), "links")
     near = written(connected_components(links), "components")
+    apart = written(_apart(likely.select("a", "b"), near).join(best, ["a", "b"], "left_anti"), "apart")
+    if not apart.isEmpty():
+        links = written(links.unionByName(_verified(_regions(apart), sets, t)), "links")
+        near = written(connected_components(links), "components")
     placed = members.join(sized(near, 32), members["sid"] == near["node"], "left").select("digest", "sid", F.coalesce("component", "sid").alias("component"))
     open_blocks = placed.groupBy("digest").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("digest")
     rest = placed.join(sized(written(open_blocks, "open-blocks"), 24), "digest").join(distinct, "sid").select("digest", "sid", "component", "size", "vector")
-    more = written(_tree_pairs(rest, t).join(pairs, ["a", "b"], "left_anti"), "tree-pairs")
+    more = written(_tree_pairs(rest, t).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "tree-pairs")
     if not more.isEmpty():
-        links = written(links.unionByName(_verified(more, sets, t)), "links")
+        links = written(links.unionByName(_verified(_regions(more), sets, t)), "links")
         near = written(connected_components(links), "components")
     labels = near.select(F.col("node").alias("sid"), "component")
     return rows.join(sized(labels, 32), "sid", "left").select("did", "size", "sid", F.coalesce("component", "sid").alias("label"))
