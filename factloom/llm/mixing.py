@@ -8,14 +8,18 @@
    further cell reaches 1. ``weight`` tells how often a token of the cell should count relative to an average one.
 4. A document is sampled if a uniform number from the MD5 of its doc_id is below its probability: the same answer on
    every run, on any partitioning.
+5. The mix holds a sampled document rate * weight times on average: cells held at probability 1 are repeated (the whole part
+   for sure, the rest by the same uniform number), so that the marginals of the mix's tokens are the targets. ``BUDGET``
+   is the share of the tokens that the mix holds at least once. The digest has one row per document; there, sampled tokens
+   counted weight / probability times have the targets' marginals.
 
 DataFrame operations only. Default targets flatten the observed shares: share**POWER, normalised. Topics come from
 ordered text rules. Cells are as many as combinations that occur; no join or window has a document's row in it but the
 last, which hands each document its cell's probability.
 
 Defined results: a null source or language is a value of its own; null and empty texts have no tokens, and cells without
-tokens have weight 0 and probability 1, as they change no share; rows of one doc_id are sampled alike; no rows
-give no rows; extra columns pass through.
+tokens have weight 0 and probability 1, as they change no share; a document without tokens is in the mix once at most; rows
+of one doc_id are sampled alike; no rows give no rows; extra columns pass through.
 """
 
 from __future__ import annotations
@@ -72,7 +76,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds:
 
 
 def calibrate(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
-    """Cells with ``probability`` and ``weight`` per token."""
+    """Cells with ``probability``, ``weight`` per token and ``copies``, how often the mix holds a document on average."""
     per_token = cells.withColumn("weight", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0))
     goal = budget * float(cells.agg(F.sum("tokens").cast("double")).first()[0] or 0.0)
     rate = 0.0
@@ -83,21 +87,23 @@ def calibrate(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
         if solved <= rate:
             break
         rate = solved
-    return per_token.withColumn("probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") * rate)).otherwise(1.0))
+    return per_token.withColumn("copies", F.when(F.col("tokens") > 0, F.col("weight") * rate).otherwise(1.0)).withColumn("probability", F.least(F.lit(1.0), F.col("copies")))
 
 
 def weighted(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
-    """``docs`` with _tokens, _topic, _weight, _probability and _sampled."""
+    """``docs`` with _tokens, _topic, _weight, _probability, _sampled and _copies (how often the mix holds the row)."""
     full = described(docs)
     cells = full.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("tokens"))
     found = written(calibrate(rake(written(cells, "cells"), targets), budget), "calibrated")
-    small = sized(found.select(*(F.col(d).alias(f"_{d}") for d in DIMENSIONS), F.col("weight").alias("_weight"), F.col("probability").alias("_probability")), 120)
-    return full.join(small, [f"_{d}" for d in DIMENSIONS], "left").withColumn("_sampled", F.col("_u") < F.col("_probability"))
+    small = sized(found.select(*(F.col(d).alias(f"_{d}") for d in DIMENSIONS), F.col("weight").alias("_weight"), F.col("probability").alias("_probability"), F.col("copies").alias("_expected")), 120)
+    whole = F.floor("_expected")
+    copies = F.when(F.col("_tokens") > 0, whole + (F.col("_u") < F.col("_expected") - whole).cast("long")).otherwise((F.col("_u") < F.col("_probability")).cast("long"))
+    return full.join(small, [f"_{d}" for d in DIMENSIONS], "left").withColumn("_sampled", F.col("_u") < F.col("_probability")).withColumn("_copies", copies)
 
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
-    """The sampled rows of ``docs``."""
-    return weighted(docs, targets, budget).filter("_sampled").select(docs.columns)
+    """The sampled rows of ``docs``, those of capped cells repeated, so that the tokens' marginals are the targets."""
+    return weighted(docs, targets, budget).filter("_copies > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")).select(docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -141,6 +141,30 @@ def test_mixing(docs):
     assert mixing.mix(docs).columns == docs.columns
 
 
+def test_mix_reaches_the_targets(spark):
+    rnd = random.Random(11)
+    rows = []
+    for d in range(6000):
+        body = " ".join(rnd.choices(("sun", "rain", "wind"), k=rnd.randrange(5, 25)))
+        body += " write to ab@cd.org" if rnd.random() < 0.02 else ""
+        rows.append((d, body, "en" if rnd.random() < 0.9 else "de", "web" if rnd.random() < 0.95 else "book", 1))
+    rows += [(7000 + d, "", "de", "book", 1) for d in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    values = {r[0]: {"source": r[3], "lang": r[2], "topic": "contact" if "@" in r[1] else "prose"} for r in rows}
+    mixed = [(r.doc_id, len(r.text.split())) for r in mixing.mix(docs).collect()]
+    for d in mixing.DIMENSIONS:
+        raw, reached = defaultdict(int), defaultdict(int)
+        for r in rows:
+            raw[values[r[0]][d]] += len(r[1].split())
+        for i, n in mixed:
+            reached[values[i][d]] += n
+        target = {v: n**mixing.POWER for v, n in raw.items()}
+        for v in raw:
+            assert reached[v] / sum(reached.values()) == pytest.approx(target[v] / sum(target.values()), abs=0.02), (d, v)
+    held = {r.doc_id for r in mixing.digest(docs).filter("sampled").collect()}
+    assert {i for i, _ in mixed} == held and sum(n == 0 for _, n in mixed) <= 5
+
+
 URLS = ["http://EXAMPLE.com/en/7?x", "https://a.b.com/en/1#f", "ftp://example.com/en/8", "http://notexample.net", "x://example.net/de/8/9", "x://example.net/de/7", "http://ORG", "http://www.org/es/", "no scheme", "", None, "http://com/en/", "http://a.xcom/en/"]
 
 
