@@ -288,6 +288,40 @@ def test_html_extraction(spark):
     assert found[1].n_chars == len(found[1].text) and (found[2].text, found[2].n_chars, found[3].text) == ("", 0, "")
 
 
+def words(n, start=0):
+    return " ".join(f"w{start + i}" for i in range(n))
+
+
+def test_html_pages_without_article():
+    def links(*sizes):
+        return "<ul>" + "".join(f"<li><a href=/x>{words(n, 900)}</a></li>" for n in sizes) + "</ul>"
+
+    def blocks(*sizes):
+        return [words(n, 100 * i) for i, n in enumerate(sizes)]
+
+    def page(texts, before="", after=""):
+        return f"<html><body>{before}<div><h1>{texts[0]}</h1>{''.join(f'<p>{t}</p>' for t in texts[1:])}</div>{after}</body></html>"
+
+    for sizes in ((8, 25, 30), (8, 12, 19, 15, 21), (5, 21, 17, 20), (10, 60, 5, 45, 33), (6, 14, 13, 16, 18, 12), (9, 120, 300), (7, 35, 6)):
+        texts = blocks(*sizes)
+        for before in ("", links(1, 2, 1), links(3, 8, 5)):
+            for after in ("", links(4, 2, 3), links(24, 30, 26)):
+                assert htmltext.main_text(page(texts, before, after)) == "\n".join(texts), (sizes, before, after)
+    long = blocks(7, 40)
+    assert htmltext.main_text(page([*long, "<a href=/a>" + words(30, 500) + "</a>"])) == "\n".join(long)  # links after long text
+    assert htmltext.main_text(f"<div>{links(2, 3, 2)}<h3>More of it</h3>{links(6, 8, 5, 12)}</div>") == ""
+    whole = blocks(8, 30, 14, 40)
+    linked = f"<article><h1>{whole[0]}</h1><p>{whole[1]}</p><p><a href=/a>{whole[2]}</a></p><p>{whole[3]}</p></article>"
+    assert htmltext.main_text(linked) == "\n".join(whole)
+
+
+def test_html_tree_tests_link_density():
+    def tested(tree):
+        return set() if isinstance(tree, int) else {htmltext.FEATURES[tree[0]]} | tested(tree[2]) | tested(tree[3])
+
+    assert {"words", "links", "words_before", "words_after", "links_before", "links_after"} <= tested(htmltext.default_tree())
+
+
 OVER_DOCS = [sharding.digest, exactdedup.digest, suffixdedup.digest, mixing.digest, linededup.digest, jaccardjoin.digest]
 
 
