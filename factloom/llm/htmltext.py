@@ -2,7 +2,8 @@
 
 A page becomes a flat list of text blocks (cut at block-level tags). Each has its word count and link density, those
 of the block before and after, and what its open containers say (article or main; menu, footer, form, advert and the
-like). A small CART tree, trained here on ``LABELLED`` and ``LABELLED_PAGES``, tells main text from the rest. Main blocks are joined in page
+like). A container's name counts for less if other words stand beside the telling one, and not at all if it holds the page's
+main or own article, or most of the page's text. A small CART tree, trained here on ``LABELLED`` and ``LABELLED_PAGES``, tells main text from the rest. Main blocks are joined in page
 order by one newline; nothing else is dropped or cut. Pages are independent, so there is no shuffle.
 
 Defined results: null or empty html gives empty text; markup that is cut off inside a tag or a comment ends the page there;
@@ -29,10 +30,20 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements whose content is no markup.
 RAW = frozenset("script style title textarea xmp noembed noframes".split())
 #: Elements whose text is never main text.
-BOILER_TAGS = frozenset("nav footer aside form menu button select option template noscript svg iframe object canvas dialog fieldset label".split())
+BOILER_TAGS = frozenset("nav footer aside menu button select option template noscript svg iframe object canvas dialog label".split())
+#: Elements that may hold main text or none.
+WEAK_TAGS = frozenset(("form", "fieldset"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: Elements whose id, inside article or main, names a passage of the text.
+PASSAGE_TAGS = frozenset("section p span a blockquote figure table li".split())
 MAIN_TAGS = frozenset(("article", "main"))
 #: Words of class, id or role that mark what is no main text.
 BOILER_WORDS = frozenset("ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline-share comment comments complementary consent contentinfo cookie cookies copyright dialog disqus disclaimer footer form gdpr menu modal nav navbar navigation newsletter notice notices notification outbrain pager pagination popup promo promoted promotion recommended related replies reply search share sharing sidebar signup social sponsor sponsored subscribe taboola toolbar widget".split())
+#: Words beside a boiler word that leave the name what it is ("ad-slot", "related-posts").
+PLAIN_WORDS = frozenset("and area article articles bar block body bottom box button buttons col column container content group icon icons inner item items left link links list main module outer page panel post posts primary right row secondary section site slot stories story text title top unit wrap wrapper zone".split())
+#: First words of names that say how a page is laid out ("no-sidebar").
+LAYOUT_WORDS = frozenset(("no", "not", "without", "has", "with"))
+NONE, WEAK, STRONG = 0.0, 0.5, 1.0
 #: Elements that an opening tag of the same kind (or, for p, any block) closes.
 SELF_CLOSING = {"li": "li", "p": "p"}
 
@@ -47,33 +58,70 @@ class Block:
     words: int
     link_words: int
     main: bool
-    boiler: bool
+    boiler: float
     heading: bool
+    inside: tuple[int, ...] = ()
 
 
-def _says_boiler(tag: str, attributes: str, inside_main: bool) -> bool:
-    if tag in BOILER_TAGS or (tag == "header" and not inside_main):
-        return True
-    if not attributes:
-        return False
+@dataclass
+class Holder:
+    """An article or main, or a container that may be boiler plate by its name: the words in it, and the holders around it."""
+
+    tag: str
+    boiler: float
+    inside: tuple[int, ...]
+    words: int = 0
+
+
+def _name_says(name: str, inside_main: bool) -> float:
+    words = _WORD.findall(name)
+    boiler = [w for w in words if w in BOILER_WORDS or (w == "header" and not inside_main)]
+    if not boiler or words[0] in LAYOUT_WORDS:
+        return NONE
+    return STRONG if all(w in boiler or w in PLAIN_WORDS or w.isdigit() for w in words) else WEAK
+
+
+def _says_boiler(tag: str, attributes: str, inside_main: bool) -> float:
+    """What an element that is none of BOILER_TAGS says of the text in it."""
+    out = STRONG if tag == "header" and not inside_main else WEAK if tag in WEAK_TAGS else NONE
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return STRONG
         if name == "style":
             if "display:none" in value.replace(" ", ""):
-                return True
-        elif tag not in ("body", "html", "article", "main"):
-            words = _WORD.findall(value)
-            if not BOILER_WORDS.isdisjoint(words) or ("header" in words and not inside_main):
-                return True
-    return False
+                return STRONG
+        elif name != "aria-hidden" and tag not in ("body", "html", "article", "main") and tag not in HEADINGS and not (name == "id" and inside_main and tag in PASSAGE_TAGS):
+            out = max([out, *(_name_says(x, inside_main) for x in value.split())])
+    return out
+
+
+def _judge(blocks: list[Block], holders: list[Holder]) -> None:
+    """Sets ``boiler`` of the blocks: no name counts around main, the page's own article, or most of the page's text."""
+    if not any(h.boiler for h in holders):
+        return
+    total = 0
+    for b in blocks:
+        if b.boiler < STRONG:
+            total += b.words - b.link_words
+            for h in b.inside:
+                holders[h].words += b.words - b.link_words
+    own = [h for h in holders if h.tag == "main" and h.words]
+    if not own:
+        longest = max((h for h in holders if h.tag == "article"), key=lambda h: h.words, default=None)
+        own = [longest] if longest and longest.words * 4 >= total and longest.words else []
+    around = {i for h in own for i in h.inside}
+    says = [NONE if i in around or h.words * 2 > total else h.boiler for i, h in enumerate(holders)]
+    for b in blocks:
+        b.boiler = max([b.boiler, *(says[i] for i in b.inside)])
 
 
 def text_blocks(page: str) -> list[Block]:
     """The flat blocks of a page, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # (tag, makes main, makes boiler)
+    stack: list[tuple[str, bool, bool, bool]] = []  # (tag, makes main, makes boiler, is a holder)
+    holders: list[Holder] = []
+    inside: list[int] = []
     main = boiler = links = heading = 0
     parts: list[str] = []
     link_words = 0
@@ -83,7 +131,7 @@ def text_blocks(page: str) -> list[Block]:
         if parts:
             words = "".join(parts).split()
             if words:
-                out.append(Block(" ".join(words), len(words), min(link_words, len(words)), main > 0, boiler > 0, heading > 0))
+                out.append(Block(" ".join(words), len(words), min(link_words, len(words)), main > 0, STRONG if boiler else NONE, heading > 0, tuple(inside)))
             parts.clear()
         link_words = 0
 
@@ -97,11 +145,13 @@ def text_blocks(page: str) -> list[Block]:
 
     def pop() -> None:
         nonlocal main, boiler, links, heading
-        tag, m, b = stack.pop()
+        tag, m, b, held = stack.pop()
         main -= m
         boiler -= b
         links -= tag == "a"
-        heading -= tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+        heading -= tag in HEADINGS
+        if held:
+            inside.pop()
 
     at, end = 0, len(page)
     while at < end:
@@ -139,17 +189,23 @@ def text_blocks(page: str) -> list[Block]:
         if tag in CONTAINER:
             if tag in SELF_CLOSING and stack and stack[-1][0] == tag:
                 pop()
-            b = _says_boiler(tag, attributes, main > 0)
-            stack.append((tag, tag in MAIN_TAGS, b))
-            main += tag in MAIN_TAGS
+            m, b = tag in MAIN_TAGS, tag in BOILER_TAGS
+            says = NONE if b else _says_boiler(tag, attributes, main > 0)
+            held = m or says > NONE
+            if held:
+                holders.append(Holder(tag, says, tuple(inside)))
+                inside.append(len(holders) - 1)
+            stack.append((tag, m, b, held))
+            main += m
             boiler += b
             links += tag == "a"
-            heading += tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+            heading += tag in HEADINGS
     flush()
+    _judge(out, holders)
     return out
 
 
-#: A feature row: words, link density, words before, words after, link density before, after, in main, in boiler, heading, page has main.
+#: A feature row: words, link density, words before, words after, link density before, after, in main, in boiler (0.5: a name or form that may hold main text), heading, page has main.
 FEATURES = ("words", "links", "words_before", "words_after", "links_before", "links_after", "main", "boiler", "heading", "page_has_main")
 
 #: Blocks judged by hand: feature values in the order of FEATURES, then 1 for main text.
@@ -220,7 +276,9 @@ LABELLED = """
 
 
 #: Pages without article or main judged by hand, a page in a line, a block in a word: its words, "/" and the percent of them in
-#: links if any, h for a heading, then + for main text or - for none. Neighbours are the blocks beside it.
+#: links if any, h for a heading, then + for main text or - for none. Neighbours are the blocks beside it. In a container that
+#: may hold main text by its name a block is judged alike, in article or main or not; a block in article or main and in no
+#: such container is main text, one in a container of boiler plate, or beside article or main, is none, whatever it holds.
 LABELLED_PAGES = """
 1/100- 1/100- 2/100- 8h+ 25+ 30+ 2/100- 3/100- 5-
 8h+ 25+ 30+
@@ -281,6 +339,11 @@ LABELLED_PAGES = """
 22+ 9+ 3/100- 2/100- 7- 5-
 50+ 3/100- 8- 3-
 14+ 20/100- 6- 2/100-
+30+ 6+ 24/100- 12/100-
+7h+ 35+ 7+ 30/100- 26/100-
+20+ 5+ 18/100- 22/100-
+40+ 5h- 20/100- 14/100-
+25+ 6h- 16/100- 12/100- 6- 20/100-
 """
 
 
@@ -288,7 +351,12 @@ def page_rows(line: str) -> list[list[float]]:
     """The rows of LABELLED for a line of LABELLED_PAGES."""
     found = [re.fullmatch(r"(\d+)(?:/(\d+))?(h?)([+-])", x) for x in line.split()]
     words, links = ([0.0, *(float(m[g] or 0) / by for m in found), 0.0] for g, by in ((1, 1), (2, 100)))
-    return [[words[i], links[i], words[i - 1], words[i + 1], links[i - 1], links[i + 1], 0.0, 0.0, float(m[3] == "h"), 0.0, float(m[4] == "+")] for i, m in enumerate(found, 1)]
+    out = []
+    for i, m in enumerate(found, 1):
+        own, heading, says = (words[i], links[i], words[i - 1], words[i + 1], links[i - 1], links[i + 1]), float(m[3] == "h"), float(m[4] == "+")
+        for main, boiler, has_main, label in ((0, NONE, 0, says), (0, WEAK, 0, says), (1, WEAK, 1, says), (1, NONE, 1, 1), (0, NONE, 1, 0), (0, WEAK, 1, 0), (0, STRONG, 0, 0), (1, STRONG, 1, 0)):
+            out.append([*own, main, boiler, heading, has_main, label])
+    return out
 
 
 def train_tree(rows: np.ndarray, labels: np.ndarray, least: int = 1, depth: int = 12):
@@ -327,7 +395,7 @@ def classify(tree, row) -> int:
 def main_text(page: str | None, tree=None) -> str:
     tree = default_tree() if tree is None else tree
     found = text_blocks(page or "")
-    has_main = float(any(b.main for b in found))
+    has_main = float(any(b.main and b.boiler < STRONG for b in found))
     words = [0.0, *(float(b.words) for b in found), 0.0]
     links = [0.0, *(b.link_words / b.words for b in found), 0.0]
     kept = []

@@ -315,6 +315,27 @@ def test_html_pages_without_article():
     assert htmltext.main_text(linked) == "\n".join(whole)
 
 
+def test_html_containers_named_like_boilerplate():
+    head, first, second, third = words(6), words(30, 100), words(26, 200), words(45, 300)
+    story, plain = f"<h1>{head}</h1><p>{first}</p><p>{second}</p>", "\n".join((head, first, second))
+    small = "<nav><a href=/>Home</a></nav>"
+    around = ['<div class="content-sidebar-wrap">{}</div>', '<div class="no-sidebar">{}</div>', '<form id="aspnetForm">{}</form>', '<div id="search-results">{}</div>', '<div class="page-header widget">{}</div>', '<div class=sidebar>{}</div>']
+    for outer in around:
+        for inner in ("<main>{}</main>", "<article>{}</article>", "<div>{}</div>"):
+            assert htmltext.main_text(f"<body>{small}{outer.format(inner.format(story))}<footer>{words(9)}</footer></body>") == plain, (outer, inner)
+    section = f'<section id="social-policy"><h2 id="share-of-votes">Share of votes</h2><p>{third}</p></section>'
+    for tag in ("article", "main", "div"):
+        assert htmltext.main_text(f"<{tag}>{story}{section}</{tag}>") == f"{plain}\nShare of votes\n{third}", tag
+    assert htmltext.main_text(f'<article>{story}<div class="social-policy"><p>{third}</p></div></article>') == f"{plain}\n{third}"
+    assert htmltext.main_text(f'<article>{story}<div class="share-this"><a href=/x>Mail</a><p>Send it</p></div></article>') == plain
+    comments = "".join(f'<article class="comment-body"><p>{words(20, 800 + i)}</p></article>' for i in range(2))
+    for kind in ("sidebar", "ad", "related-posts", "cookie-consent", "site-footer"):
+        assert htmltext.main_text(f'<div class="{kind}"><p>{words(24, 700)}</p></div><div>{story}</div>') == plain, kind
+        assert htmltext.main_text(f'<article>{story}<div class="{kind}"><p>{words(24, 700)}</p></div></article>') == plain, kind
+    assert htmltext.main_text(f'<article>{story}<p>{third}</p></article><div id="comments">{comments}</div>') == f"{plain}\n{third}"
+    assert htmltext.main_text(f'<div>{story}</div><div hidden>{words(25, 700)}</div><header>{words(12, 700)}</header>') == plain
+
+
 def test_html_tree_tests_link_density():
     def tested(tree):
         return set() if isinstance(tree, int) else {htmltext.FEATURES[tree[0]]} | tested(tree[2]) | tested(tree[3])
