@@ -58,6 +58,15 @@ def accuracy_by_stability(outcome: DataFrame) -> DataFrame:
     return outcome.filter("correct is not null").groupBy(expr.plain_decile(F.col("stability")).alias("bucket")).agg(F.round(F.avg(F.col("correct").cast("int")), 6).alias("value"), F.count(F.lit(1)).alias("n"))
 
 
+def stability_quadrants(outcome: DataFrame) -> DataFrame:
+    """quadrant, value, n: accuracy of confident results, by stability; both rows are there, with 0 if nothing is in them."""
+    sure, stable, right = F.col("field_confidence") >= 0.7, F.col("stability") >= 0.7, F.col("correct").cast("int")
+    parts = {"high_conf_high_stab": sure & stable, "high_conf_low_stab": sure & ~stable}
+    flat = outcome.filter("correct is not null").agg(*(x for q, c in parts.items() for x in (F.avg(F.when(c, right)).alias(f"{q}_value"), F.count(F.when(c, 1)).alias(f"{q}_n"))))
+    rows = F.array(*(F.struct(F.lit(q).alias("quadrant"), F.round(F.coalesce(f"{q}_value", F.lit(0.0)), 6).alias("value"), F.col(f"{q}_n").alias("n")) for q in parts))
+    return flat.select(F.explode(rows).alias("x")).select("x.*")
+
+
 def four_buckets(before: DataFrame, after: DataFrame) -> DataFrame:
     """obs_id, key, bucket of the outcomes that both runs decided."""
     b = before.filter("correct is not null").select("obs_id", "key", F.col("correct").alias("was"))
@@ -120,12 +129,17 @@ def reject_queue(claims: DataFrame) -> DataFrame:
 
 
 def metrics(observations: DataFrame, extractions: DataFrame, claims: DataFrame, membership: DataFrame, resolved: DataFrame, observed: DataFrame, rollups: DataFrame, rules: RuleSet) -> DataFrame:
-    """metric, scope, value, n: what can be told of a run without labels."""
+    """metric, scope, value, n: what can be told of a run without labels. Histograms give the share, and n the total."""
 
     def rows(df, metric, scope, value, n):
-        return df.select(F.lit(metric).alias("metric"), scope.cast("string").alias("scope"), F.round(value, 6).cast("double").alias("value"), n.cast("long").alias("n"))
+        return df.select(F.lit(metric).alias("metric"), scope.cast("string").alias("scope"), F.round(F.coalesce(value.cast("double"), F.lit(0.0)), 6).alias("value"), n.cast("long").alias("n"))
+
+    def shares(counted, total):
+        """``counted`` with the sum of its k as ``total``, over the rows of equal ``total`` columns."""
+        return counted.join(F.broadcast(counted.groupBy(*total).agg(F.sum("k").alias("total"))), total) if total else counted.crossJoin(F.broadcast(counted.agg(F.sum("k").alias("total"))))
 
-    one, every, all_obs = F.lit("all"), F.count(F.lit(1)), observations.select(F.count(F.lit(1)).alias("obs"))
+    of = lambda prefix, *c: F.concat_ws(":", F.lit(prefix), *c)
+    one, every, all_obs = F.lit("global"), F.count(F.lit(1)), observations.select(F.count(F.lit(1)).alias("obs"))
     known = ~F.col("value").isin(sorted(rules.absent() | {UNDECIDABLE}))
     rate = lambda c: F.avg(c.cast("double")).alias("v")
     by_field = resolved.groupBy("field").agg(rate(known), every.alias("n"), rate(F.col("value") == UNDECIDABLE).alias("u"))
@@ -141,30 +155,36 @@ def metrics(observations: DataFrame, extractions: DataFrame, claims: DataFrame,
     identified = observations.select("obs_id").join(claims.filter("kind = 'link_basis'").select("obs_id").distinct().withColumn("has", F.lit(1)), "obs_id", "left").agg(rate(F.col("has").isNull()), every.alias("n"))
     found = observations.select("obs_id", "source").join(extractions.select("obs_id").distinct().withColumn("has", F.lit(1)), "obs_id", "left")
     empty = found.agg(rate(F.col("has").isNull() & F.col("source").isin(list(rules.source_groups()))), every.alias("n"))
-    pooled = resolved.filter(known).groupBy("field").agg(rate(F.size("witness_groups") >= 2), every.alias("n"))
+    pooled = resolved.groupBy("field").agg(F.avg(F.when(known, (F.size("witness_groups") >= 2).cast("double"))).alias("v"), F.count(F.when(known, 1)).alias("n"))
+    rejects = shares(claims.filter("kind = 'field' and not in_vocab").groupBy("value").agg(every.alias("k")), [])
+    hops = observed.filter("provenance = 'propagated'").agg(every.alias("n")).filter("n > 0")  # a value is handed on once, so every depth is 1
+    by_confidence = shares(resolved.groupBy("field", expr.decile(F.col("confidence")).alias("b")).agg(every.alias("k")), ["field"])
     gap = claims.filter("kind = 'field' and not in_vocab").join(membership.select("obs_id", "entity_id"), "obs_id").select("entity_id", F.col("key").alias("field")).distinct().withColumn("gap", F.lit(1))
     escaped = expr.lookup({f: c["escape"] for f, c in rules.closed.items()}, F.col("field"))
     gaps = resolved.filter(~is_open).join(gap, ["entity_id", "field"], "left").groupBy("field").agg(rate(F.coalesce((F.col("gap") == 1) & (F.col("value") == escaped), F.lit(False))), every.alias("n"))
     parts = [
-        rows(by_field.filter(is_open), "field_fill_rate", F.col("field"), F.col("v"), F.col("n")),
-        rows(by_field.filter(~is_open), "known_rate", F.col("field"), F.col("v"), F.col("n")),
-        rows(by_field, "undecidable_rate", F.col("field"), F.col("u"), F.col("n")),
-        *(rows(by_provenance, "field_fill_rate", F.concat("field", F.lit(f":{p}")), F.col(p), F.col("n")) for p in ("direct", "propagated")),
-        rows(gaps, "vocab_gap_rate", F.col("field"), F.col("v"), F.col("n")),
+        rows(by_field.filter(is_open), "field_fill_rate", of("field", F.col("field")), F.col("v"), F.col("n")),
+        rows(by_field.filter(~is_open), "known_rate", of("field", F.col("field")), F.col("v"), F.col("n")),
+        rows(by_field, "undecidable_rate", of("field", F.col("field")), F.col("u"), F.col("n")),
+        *(rows(by_provenance, "field_fill_rate", of("field", F.col("field"), F.lit(p)), F.col(p), F.col("n")) for p in ("direct", "propagated")),
+        rows(gaps, "vocab_gap_rate", of("field", F.col("field")), F.col("v"), F.col("n")),
+        rows(rejects, "vocab_reject_frequency", of("value", F.col("value")), F.col("k"), F.col("total")),
+        rows(hops, "propagation_depth_distribution", F.lit("hop:1"), F.lit(1.0), F.col("n")),
+        rows(by_confidence, "confidence_distribution", of("field", F.col("field"), F.lit("bucket"), F.col("b")), F.col("k") / F.col("total"), F.col("total")),
         rows(empty, "no_extraction_rate", one, F.col("v"), F.col("n")),
         rows(identified, "no_identity_claim_rate", one, F.col("v"), F.col("n")),
-        rows(keyed, "claims_per_obs", name, F.col("c") / F.greatest("obs", F.lit(1)), F.col("c")),
+        rows(keyed, "claims_per_obs", name, F.col("c") / F.greatest("obs", F.lit(1)), F.col("obs")),
         rows(keyed, "corroboration_rate", name, F.col("v"), F.col("c")),
         rows(keyed, "conflict_rate", name, F.col("w"), F.col("c")),
-        rows(pooled, "entity_corroboration_rate", F.col("field"), F.col("v"), F.col("n")),
-        rows(source, "source_win_rate", F.col("source"), F.col("v"), F.col("n")),
+        rows(pooled, "entity_corroboration_rate", of("field", F.col("field")), F.col("v"), F.col("n")),
+        rows(source, "source_win_rate", of("source", F.col("source")), F.col("v"), F.col("n")),
         rows(sizes, "entity_count", one, F.col("n"), F.col("n")),
         rows(sizes, "singleton_rate", one, F.col("v"), F.col("n")),
-        rows(linked, "link_basis_distribution", F.col("link_basis"), F.col("k") / F.col("obs"), F.col("k")),
+        rows(linked, "link_basis_distribution", of("link_basis", F.col("link_basis")), F.col("k") / F.col("obs"), F.col("obs")),
         rows(agreement, "basis_agreement_rate", one, F.col("v"), F.col("n")),
         rows(agreement, "cross_basis_conflict_rate", one, 1 - F.col("v"), F.col("n")),
     ]
     for c, metric in (("confidence", "confidence_distribution"), ("stability", "stability_distribution")):
-        h = rollups.groupBy(expr.decile(F.col(c)).alias("b")).agg(every.alias("k"))
-        parts.append(rows(h, metric, F.col("b"), F.col("k"), F.col("k")))
+        h = shares(rollups.groupBy(expr.decile(F.col(c)).alias("b")).agg(every.alias("k")), [])
+        parts.append(rows(h, metric, of("global:bucket", F.col("b")), F.col("k") / F.col("total"), F.col("total")))
     return reduce(DataFrame.unionByName, parts)

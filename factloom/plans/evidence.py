@@ -149,7 +149,8 @@ def _pairs(spark, d):
 
 def _metrics(spark, d):
     r = Run(spark, d)
-    return evaluate.metrics(r.observations, r.extractions, r.claims, r.membership, r.resolved, r.observed, r.rollups, r.rules)
+    kept = [written(df, name) for name, df in (("seen", r.observations.select("obs_id", "source")), ("extracted", r.extractions.select("obs_id").distinct()))]
+    return evaluate.metrics(*kept, r.claims, r.membership, r.resolved, written(r.observed, "observed"), written(r.rollups, "rollups"), r.rules)
 
 
 def _per(f: Callable[[Run], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -180,6 +181,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "accuracy": _per(lambda r: evaluate.accuracy(r.outcomes())),
     "calibration": _per(lambda r: evaluate.calibration(r.outcomes())),
     "accuracy_by_stability": _per(lambda r: evaluate.accuracy_by_stability(r.outcomes())),
+    "stability_quadrants": _per(lambda r: evaluate.stability_quadrants(r.outcomes())),
     "four_bucket": _four_buckets,
     "pairwise_quality": _pairs,
     "label_unpivot": _per(lambda r: labels(r.observations)),

@@ -134,6 +134,7 @@ SQL: dict[str, str] = {
         ),
         "calibration": "SELECT printf('%.1f', least(floor(field_confidence * 10) / 10, 0.9)) AS bucket, round(abs(avg(correct::INT) - avg(field_confidence)), 6) AS value, count(*) AS n FROM known GROUP BY bucket",
         "accuracy_by_stability": "SELECT printf('%.1f', least(floor(stability * 10) / 10, 0.9)) AS bucket, round(avg(correct::INT), 6) AS value, count(*) AS n FROM known GROUP BY bucket",
+        "stability_quadrants": " UNION ALL ".join(f"SELECT '{q}' AS quadrant, coalesce(round(avg(correct::INT) FILTER ({c}), 6), 0.0) AS value, count(*) FILTER ({c}) AS n FROM known" for q, c in (("high_conf_high_stab", "field_confidence >= 0.7 AND stability >= 0.7"), ("high_conf_low_stab", "field_confidence >= 0.7 AND stability < 0.7"))),
         "pairwise_quality": """, cells AS (SELECT lw.entity_id AS t, ent.entity_id AS p, count(*) AS n FROM lw JOIN ent USING (obs_id) GROUP BY ALL),
 tpairs AS (SELECT sum(n * (n - 1) // 2) AS n FROM (SELECT sum(n) AS n FROM cells GROUP BY t)), ppairs AS (SELECT sum(n * (n - 1) // 2) AS n FROM (SELECT sum(n) AS n FROM cells GROUP BY p)), hits AS (SELECT sum(n * (n - 1) // 2) AS n FROM cells)
 SELECT round(hits.n / greatest(ppairs.n, 1), 6) AS pairwise_precision, round(hits.n / greatest(tpairs.n, 1), 6) AS pairwise_recall, CAST(ppairs.n - hits.n AS BIGINT) AS false_merge_count, CAST(tpairs.n - hits.n AS BIGINT) AS false_split_count FROM hits, tpairs, ppairs""",

@@ -126,3 +126,45 @@ def test_four_buckets(spark):
     before = spark.createDataFrame([("1", "k", False), ("2", "k", True), ("3", "k", True), ("4", "k", False), ("5", "k", None)], s)
     after = spark.createDataFrame([("1", "k", True), ("2", "k", False), ("3", "k", True), ("4", "k", False), ("5", "k", True)], s)
     assert {r.obs_id: r.bucket for r in evaluate.four_buckets(before, after).collect()} == {"1": "fixed", "2": "broken", "3": "stable_correct", "4": "stable_incorrect"}
+
+
+def test_stability_quadrants(spark):
+    s = "correct boolean, field_confidence double, stability double"
+    data = [(True, 0.7, 0.7), (False, 0.9, 0.9), (True, 0.9, 0.8), (False, 0.8, 0.69), (None, 0.9, 0.1), (True, 0.69, 0.1)]
+    got = {r.quadrant: (r.value, r.n) for r in evaluate.stability_quadrants(spark.createDataFrame(data, s)).collect()}
+    assert got == {"high_conf_high_stab": (0.666667, 3), "high_conf_low_stab": (0.0, 1)}
+    assert {(r.value, r.n) for r in evaluate.stability_quadrants(spark.createDataFrame([], s)).collect()} == {(0.0, 0)}
+
+
+def test_metrics_label_free(spark):
+    rules = event_rules()
+    claim = "obs_id string, kind string, key string, value string, weight double, witness_groups array<string>, conflicts array<string>, sources array<string>, in_vocab boolean"
+    g, two = ["view"], ["view", "purchase"]
+    claims = spark.createDataFrame(
+        [("a", "field", "amount", "1", 0.7, g, ["purchase"], ["view"], True), ("b", "field", "amount", "2", 0.85, ["purchase"], [], ["purchase"], True), ("a", "field", "item", "7", 1.0, two, [], two, True)]
+        + [("b", "field", "tier", "9", 0.85, ["purchase"], [], ["purchase"], False), ("c", "field", "tier", "9", 0.7, g, [], g, False), ("c", "field", "role", "tv", 0.7, g, [], g, False), ("a", "link_basis", "mac", "M", 0.8, g, [], g, True)],
+        claim,
+    )
+    members = spark.createDataFrame([("a", "E", 0.9, "mac", True), ("b", "E", 0.9, "mac", False), ("c", "F", 0.0, "none", True)], "obs_id string, entity_id string, link_weight double, link_basis string, basis_agreement boolean")
+    obs = spark.createDataFrame([("a", "view"), ("b", "purchase"), ("c", "view")], "obs_id string, source string")
+    resolved = fields.resolve(claims, members, rules)
+    found = evaluate.metrics(obs, claims.select("obs_id"), claims, members, resolved, fields.observe(claims, members, resolved, rules), fields.rollup(resolved, rules), rules).collect()
+    got = {(r.metric, r.scope): (r.value, r.n) for r in found}
+    assert len(got) == len(found)
+    expected = {
+        ("vocab_reject_frequency", "value:9"): (2.0, 3), ("vocab_reject_frequency", "value:tv"): (1.0, 3),
+        ("propagation_depth_distribution", "hop:1"): (1.0, 1),
+        ("confidence_distribution", "field:item:bucket:0.9"): (0.5, 2), ("confidence_distribution", "field:item:bucket:0.0"): (0.5, 2),
+        ("confidence_distribution", "field:tier:bucket:0.0"): (1.0, 2), ("confidence_distribution", "field:role:bucket:0.0"): (1.0, 2), ("confidence_distribution", "field:amount:bucket:0.0"): (1.0, 2),
+        ("confidence_distribution", "global:bucket:0.9"): (0.5, 2), ("confidence_distribution", "global:bucket:0.0"): (0.5, 2),
+        ("field_fill_rate", "field:item"): (0.5, 2), ("field_fill_rate", "field:item:direct"): (0.333333, 3), ("field_fill_rate", "field:item:propagated"): (0.333333, 3),
+        ("known_rate", "field:tier"): (0.0, 2), ("vocab_gap_rate", "field:tier"): (1.0, 2), ("vocab_gap_rate", "field:role"): (0.5, 2),
+        ("entity_corroboration_rate", "field:item"): (1.0, 1), ("entity_corroboration_rate", "field:tier"): (0.0, 0),
+        ("claims_per_obs", "field:amount"): (0.666667, 3), ("corroboration_rate", "field:item"): (1.0, 1), ("conflict_rate", "field:amount"): (0.5, 2),
+        ("source_win_rate", "source:view"): (0.5, 2), ("source_win_rate", "source:purchase"): (0.5, 2),
+        ("entity_count", "global"): (2.0, 2), ("singleton_rate", "global"): (0.5, 2), ("link_basis_distribution", "link_basis:mac"): (0.666667, 3), ("link_basis_distribution", "link_basis:none"): (0.333333, 3),
+        ("basis_agreement_rate", "global"): (0.666667, 3), ("cross_basis_conflict_rate", "global"): (0.333333, 3), ("no_extraction_rate", "global"): (0.0, 3), ("no_identity_claim_rate", "global"): (0.666667, 3),
+    }
+    assert {k: got.get(k) for k in expected} == expected
+    for metric in ("confidence_distribution", "stability_distribution", "link_basis_distribution"):
+        assert sum(v for (m, scope), (v, _) in got.items() if m == metric and not scope.startswith("field:")) == pytest.approx(1, abs=1e-5)
