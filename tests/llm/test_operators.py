@@ -376,3 +376,86 @@ def test_pipeline(spark, docs, bench, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {r.doc_id for r in clean.collect()}
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, plain, str(tmp_path)).columns == plain.columns
+
+
+def mixed_by_hand(rows):
+    """doc_id -> how often the mix holds it; rows: (doc_id, text, lang, source), no text without words or with a topic but contact."""
+    total = sum(len(t.split()) for _, t, _, _ in rows)
+    cell = {d: (source, lang, "contact" if "@" in t else "prose") for d, t, lang, source in rows}
+    tokens = defaultdict(float)
+    for d, t, _, _ in rows:
+        tokens[cell[d]] += len(t.split())
+    weight = dict(tokens)
+    marginal = lambda of, k: {v: sum(n for c, n in of.items() if c[k] == v) for v in {c[k] for c in of}}
+    target = []
+    for k in range(3):
+        flat = {v: n**0.5 for v, n in marginal(tokens, k).items()}
+        target.append({v: x * total / sum(flat.values()) for v, x in flat.items()})
+    for _ in range(10):
+        for k in range(3):
+            now = marginal(weight, k)
+            weight = {c: w * target[k][c[k]] / now[c[k]] for c, w in weight.items()}
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        rate = (low + high) / 2
+        low, high = (rate, high) if sum(min(n, rate * weight[c]) for c, n in tokens.items()) < 0.8 * total else (low, rate)
+    out = {}
+    for d in cell:
+        copies = rate * weight[cell[d]] / tokens[cell[d]]
+        out[d] = int(copies) + (int(hashlib.md5(str(d).encode()).hexdigest()[:12], 16) / 16**12 < copies % 1)
+    return out
+
+
+def test_pipeline_against_independent_code(spark, tmp_path):
+    import corpus_pipeline
+
+    rnd = random.Random(23)
+    vocabulary = [f"{a}{b}{c}" for a in ("mor", "tal", "vin", "sel", "pra", "du") for b in ("en", "ig", "os", "ul") for c in ("da", "ter", "mi", "ko", "ba", "res", "lin")]
+    rude = ["grobwort", "schmaehung", "poebelei", "lumpenkerl"]
+    rows, toxic = [], set()
+    for d in range(1200):
+        words = rnd.choices(vocabulary, k=rnd.randrange(30, 70))
+        if d % 4 == 0:
+            toxic.add(d)
+            words += rnd.choices(rude, k=8)
+            rnd.shuffle(words)
+        elif rnd.random() < 0.05:
+            words.append("an@sie.de")
+        rows.append((d, " ".join(words), "en" if rnd.random() < 0.85 else "de", "web" if rnd.random() < 0.9 else "book"))
+    item = rows[1][1]
+    copies = [(2000 + d, rows[d][1] + " ende", rows[d][2], rows[d][3]) for d in (2, 3, 5)]
+    docs = rows + copies
+    spark.createDataFrame([(*r, len(r[1])) for r in docs], "doc_id long, text string, lang string, source string, n_chars int").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("b", item)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(r[0], 0, int(r[0] in toxic)) for r in docs if r[0] % 3], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    kept = [r for r in rows if r[0] not in toxic and r[0] != 1]
+    want = {d: n for d, n in mixed_by_hand(kept).items() if n}
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    count = defaultdict(int)
+    for r in found:
+        count[r.doc_id] += 1
+    assert not toxic & set(count) and len(toxic) == 300  # two in three are labelled, all go
+    assert max(want.values()) > 1 and dict(count) == want
+
+    size = {d: len(t.encode()) + 16 for d, t, _, _ in rows}
+    groups = [size[d] * n for d, n in sorted(want.items())]
+
+    def shards(capacity):
+        used, load = 1, 0
+        for g in groups:
+            used, load = (used + 1, g) if load + g > capacity else (used, load + g)
+        return used
+
+    low, high = max(groups), sum(groups)
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if shards(middle) <= corpus_pipeline.SHARDS else (middle + 1, high)
+    load, slots, last = defaultdict(int), defaultdict(list), -1
+    for r in sorted(found, key=lambda r: (r.shard, r.slot)):
+        load[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+        assert r.doc_id >= last and r.size == size[r.doc_id]
+        last = r.doc_id
+    assert max(load.values()) == low and set(load) <= set(range(corpus_pipeline.SHARDS))
+    assert all(s == list(range(len(s))) for s in slots.values())
