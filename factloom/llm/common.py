@@ -7,10 +7,14 @@ machine) a folder of our own is set.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from factloom.functions.storage import shared_folder, written  # noqa: F401
+from factloom.functions.storage import discard, shared_folder, written  # noqa: F401
 
 #: The ASCII white space of all the text contracts: \x20 and \x09-\x0D.
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
@@ -29,6 +33,12 @@ def sized(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> Dat
     return F.broadcast(small) if small.count() * row_bytes <= limit else small
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """128 bits that tell rows apart: equal for equal doc_id and text only; null texts count as empty."""
+    parts = F.concat_ws("\x00", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.coalesce(F.col(text), F.lit("")))
+    return F.substring(F.unhex(F.sha2(parts, 256)), 1, 16)
+
+
 def doc_key(c: str = "doc_id") -> Column:
     """doc_id as a non-null long."""
     return F.coalesce(F.col(c).cast("long"), F.lit(NULL_ID))
@@ -43,7 +53,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def columns_without(df: DataFrame, *own: str) -> list[str]:
-    """Columns of ``df`` but those that an operator adds itself: names clash ignoring case."""
-    taken = {x.lower() for x in own}
-    return [c for c in df.columns if c.lower() not in taken]
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores added to those that a column of ``df`` has, ignoring case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def named(df: DataFrame, column: str) -> str:
+    """The name that ``df`` gives ``column``: the same but for case."""
+    return next(c for c in df.columns if c.lower() == column.lower())
+
+
+def appended(df: DataFrame, columns: str, make: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:
+    """``df`` with the ``columns`` (DDL) that ``make()``, called once in each task, computes from a batch."""
+    more = StructType.fromDDL(columns)
+    schema = StructType(df.schema.fields + more.fields)
+    names = schema.names
+
+    def run(batches):
+        own = make()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own(batch)], names)
+
+    return df.mapInArrow(run, schema)
+
+
+def replaced_text(df: DataFrame, extra: str, cut: Callable[[bytes, object], bytes]) -> DataFrame:
+    """``df`` without its last column ``extra``; where that is not null, ``text`` is ``cut(text, extra)``. Null texts stay null."""
+    text = named(df, "text")
+    schema = StructType([f for f in df.schema.fields if f.name != extra])
+
+    def run(batches):
+        for batch in batches:
+            if batch.column(extra).null_count < batch.num_rows:
+                raw, by = batch.column(text).cast(pa.binary()).to_pylist(), batch.column(extra).to_pylist()
+                out = pa.array([t if t is None or b is None else cut(t, b) for t, b in zip(raw, by, strict=True)], pa.binary())
+                batch = batch.set_column(batch.schema.get_field_index(text), text, out.cast(batch.schema.field(text).type))
+            yield batch.select(schema.names)
+
+    return df.mapInArrow(run, schema)

@@ -3,42 +3,51 @@
 *Sparse suffixes.* Every window of L bytes names one anchor: the start of its K-byte string of smallest hash (leftmost of
 equals). The choice depends on the window's bytes alone, so equal windows, wherever they stand, have their
 anchors at equal places, and only suffixes that start at anchors need to be indexed: about 2 in L - K + 2. Consecutive windows with
-one anchor form an entry: (order key of the suffix, hash of all bytes its windows cover, text, first window, windows).
-The order key is a 64-bit hash of the suffix's first K bytes: among suffixes of different first K bytes, order says
-nothing about matches of L bytes, and equal ones lie side by side, which is all that a merge-scan needs.
+one anchor form an entry; its bytes are those its windows cover, the head before the anchor and the suffix from it.
 
-*Logarithmic family.* Texts come in batches. A batch's suffix array is its entries in key order, equal ones with their
-count. It is merge-scanned against each existing level for shared keys, then becomes a level; levels of equal size are
-merged, so n batches leave log2(n) levels and each entry is merged log2(n) times.
+*Logarithmic family.* Texts come in batches. A batch's suffix array is its entries in the order of their suffixes (first bytes,
+then the hash of the K bytes), equal ones with their count. It is merge-scanned against each existing level for shared
+K-byte prefixes, then becomes a level; levels of equal size are merged, so n batches leave log2(n) levels and each entry is
+merged log2(n) times. Levels hold no text: what shares no K bytes can not match L. The suffixes that do are fetched with their
+bytes, by a filter of bounded size on the K-byte hashes, and equal ones counted in the map tasks.
 
-*Matches.* Where equal entries occur twice, all their windows repeat. An entry that shares its key with entries of other content
-(the ends of a shared passage) has its windows hashed one by one and counted among the entries of that key. Both are sums
-with map-side combining, so a passage that a third of all texts share is no single task's load; windows of entries whose
-key occurs once are never looked at. Nothing is sampled: every window has an anchor, and every key is scanned.
+*Matches.* The fetched suffixes are sorted by their bytes over all partitions, and each is compared, byte by byte, with its
+neighbours: the common prefix of r bytes and the common head of h bytes say that the windows that start up to h before the anchor
+and at most L - r repeat. The same is done in the order of the heads, read backwards. The neighbours have the longest common prefix
+(head) that any other entry has, so windows beyond those two lengths repeat nowhere; the few between them that no neighbour settles
+are looked up one by one among the windows of equal place and bytes. Windows of suffixes that occur twice with all their bytes all
+repeat. Ranges are dealt by sampled bytes, so a passage that a third of all texts share spreads over many tasks.
 
 Defined results: null is empty; texts under L bytes lose nothing; rows that repeat are copies and lose all windows;
 overlapping and adjacent windows merge to one run; very long texts are cut to overlapping pieces inside a task;
-extra columns pass through; ``remove_repeats`` decodes what is left, dropping bytes of characters cut in two.
+extra columns pass through, also those named as ours; ``remove_repeats`` leaves null texts null and decodes what is left,
+dropping bytes of characters cut in two.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import sized, written
-from factloom.llm.linededup import row_key
-from factloom.llm.textscan import blocks, bytes_and_offsets, mix, prefix_sums, span_hashes
+from factloom.llm.common import appended, discard, free_names, named, replaced_text, row_key, sized, written
+from factloom.llm.textscan import blocks, bytes_and_offsets, prefix_sums, span_hashes
 
 LENGTH, GRAM = 400, 100
 BATCHES = 4
 #: Windows of one piece of a long text.
 PIECE = (1 << 20) - 4096
-ENTRY = "key long, content long, uid long, start int, n int"
+#: Largest size of the filter on K-byte hashes; beyond it more suffixes are fetched, and dropped by the join.
+FILTER_BYTES = 16 << 20
+FILTER_CHUNK = 1 << 16
+#: Suffixes that a task of the sorted order holds on average.
+RANGE = 50_000
 
 
 def _pieces(offsets: np.ndarray, length: int) -> list[tuple[int, int, int]]:
@@ -75,7 +84,7 @@ def anchors(text: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
 
 
 def _entries(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """(row, start in the row, windows, key, content) arrays for each block of pieces."""
+    """(row, start in the row, windows, anchor in the block, window in the block, key, block) for each block of pieces."""
     pieces = _pieces(offsets, length)
     if not pieces:
         return
@@ -87,43 +96,39 @@ def _entries(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
         piece = np.searchsorted(own, window, "right") - 1
         row = rows[first:end][piece]
         start = window - own[piece] + starts[first:end][piece] - offsets[row]
-        key = span_hashes(sums, anchor, anchor + gram)
-        content = mix(span_hashes(sums, window, window + n - 1 + length) + (anchor - window).astype(np.uint64))
-        yield row, start, n, key, content
-
-
-def entries(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """The entries of all texts; ``docs`` has uid and text."""
-
-    def scan(batches):
-        for batch in batches:
-            data, offsets = bytes_and_offsets(batch.column("text"))
-            for row, start, n, key, content in _entries(data, offsets, length, gram):
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), batch.column("uid").take(pa.array(row)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], ["key", "content", "uid", "start", "n"])
-
-    return docs.select("uid", "text").mapInArrow(scan, ENTRY)
+        yield row, start, n, anchor, window, span_hashes(sums, anchor, anchor + gram).view(np.int64), part
 
 
 class LogarithmicIndex:
-    """Levels of sorted suffix entries; level sizes in batches are distinct powers of two."""
+    """Levels of suffix arrays; level sizes in batches are distinct powers of two."""
 
-    def __init__(self) -> None:
+    def __init__(self, length: int, gram: int) -> None:
+        self.length, self.gram = length, gram
         self.levels: list[tuple[int, DataFrame]] = []
         self.shared: list[DataFrame] = []  # keys found to repeat, by merge-scan
 
-    @staticmethod
-    def suffix_array(batch: DataFrame) -> DataFrame:
-        """Entries in key order, with how often each occurs and one place of it."""
-        found = batch.groupBy("key", "content").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("uid", "start", "n")).alias("place"))
-        return written(found.sortWithinPartitions("key", "content"), "suffixes")
+    def suffix_array(self, batch: DataFrame) -> DataFrame:
+        """(first, key, n) in the order of the suffixes: first 8 bytes as a number, hash of K bytes, how often."""
+        length, gram = self.length, self.gram
+
+        def scan(batches):
+            for part in batches:
+                data, offsets = bytes_and_offsets(part.column("text"))
+                for _, _, _, anchor, _, key, text in _entries(data, offsets, length, gram):
+                    head = np.zeros((len(anchor), 8), np.uint8)
+                    head[:, : min(8, gram)] = text[anchor[:, None] + np.arange(min(8, gram))]
+                    first = head.view(">u8").ravel().astype(np.uint64) >> np.uint64(1)
+                    own, n = np.unique(np.stack([first.view(np.int64), key]), axis=1, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(own[0]), pa.array(own[1]), pa.array(n)], ["first", "key", "n"])
+
+        found = batch.select("text").mapInArrow(scan, "first long, key long, n long")
+        return written(found.groupBy("first", "key").agg(F.sum("n").alias("n")).sortWithinPartitions("first", "key"), "suffixes")
 
     def insert(self, batch: DataFrame) -> None:
         new = self.suffix_array(batch)
-        inside = new.groupBy("key").agg(F.sum("copies").alias("c")).filter("c > 1").select("key")
-        scans = [new.join(level.select("key"), "key", "left_semi").select("key") for _, level in self.levels]
-        found = inside
-        for scan in scans:
-            found = found.unionByName(scan)
+        found = new.filter("n > 1").select("key")
+        for _, level in self.levels:
+            found = found.unionByName(new.select("first", "key").join(level.select("first", "key"), ["first", "key"], "left_semi").select("key"))
         self.shared.append(written(found.distinct(), "shared"))
         self.levels.append((1, new))
 
@@ -132,92 +137,250 @@ class LogarithmicIndex:
         while len({size for size, _ in self.levels}) < len(self.levels):
             self.levels.sort(key=lambda x: -x[0])
             (size, a), (_, b) = next((x, y) for x, y in zip(self.levels, self.levels[1:], strict=False) if x[0] == y[0])
-            both = a.unionByName(b).groupBy("key", "content").agg(F.sum("copies").alias("copies"), F.min("place").alias("place"))
-            merged = written(both.sortWithinPartitions("key", "content"), "level")
+            both = a.unionByName(b).groupBy("first", "key").agg(F.sum("n").alias("n"))
+            merged = written(both.sortWithinPartitions("first", "key"), "level")
             self.levels = [x for x in self.levels if x[1] is not a and x[1] is not b] + [(2 * size, merged)]
+            discard(a, b)
 
     def repeated(self) -> DataFrame:
-        """All entries, over all levels, of keys that occur more than once: key, content, copies, place."""
+        """(key) of the K-byte prefixes that occur more than once."""
         keys = self.shared[0]
         for more in self.shared[1:]:
             keys = keys.unionByName(more)
-        keys = sized(written(keys.distinct(), "repeated-keys"), 24)
-        parts = [level.join(keys, "key", "left_semi") for _, level in self.levels]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out.groupBy("key", "content").agg(F.sum("copies").alias("copies"), F.min("place").alias("place"))
+        out = written(keys.distinct(), "repeated")
+        discard(*self.shared, *(level for _, level in self.levels))
+        return out
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter with two bits a key, of bounded size: bytes in chunks, each made of the keys' bits by the executors."""
+    n = keys.count()
+    size = FILTER_CHUNK
+    while size < FILTER_BYTES and size < 2 * n:
+        size *= 2
+
+    def bits(batches):
+        own: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at in _filter_bits(batch.column("key").to_numpy().view(np.uint64), size):
+                for c in np.unique(at // (FILTER_CHUNK * 8)).tolist():
+                    chunk = own.setdefault(c, np.zeros(FILTER_CHUNK * 8, bool))
+                    chunk[at[at // (FILTER_CHUNK * 8) == c] % (FILTER_CHUNK * 8)] = True
+        for c, chunk in own.items():
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([np.packbits(chunk).tobytes()], pa.binary())], ["chunk", "bits"])
+
+    def merge(parts):
+        held, chunk = None, None
+        for batch in parts:
+            for c, b in zip(batch.column("chunk").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                if c != held:
+                    if held is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array([held], pa.int32()), pa.array([chunk.tobytes()], pa.binary())], ["chunk", "bits"])
+                    held, chunk = c, np.zeros(FILTER_CHUNK, np.uint8)
+                chunk |= np.frombuffer(b, np.uint8)
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([held], pa.int32()), pa.array([chunk.tobytes()], pa.binary())], ["chunk", "bits"])
+
+    schema = "chunk int, bits binary"
+    out = np.zeros(size, np.uint8)
+    made = keys.coalesce(max(1, min(64, n // 100_000 + 1))).mapInArrow(bits, schema).repartition("chunk").sortWithinPartitions("chunk").mapInArrow(merge, schema)
+    for row in made.collect():  # FILTER_BYTES at most
+        out[row["chunk"] * FILTER_CHUNK : (row["chunk"] + 1) * FILTER_CHUNK] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def _filter_bits(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    mask = np.uint64(size * 8 - 1)
+    return (keys & mask).astype(np.int64), ((keys >> np.uint64(30)) & mask).astype(np.int64)
 
 
-def _windows(docs: DataFrame, ends: DataFrame, length: int) -> DataFrame:
-    """(key, content, i, copies, hash) of each window of the entries ``ends``, read from the text of their place."""
+def fetched(docs: DataFrame, keys: DataFrame, length: int, gram: int) -> DataFrame:
+    """(key, cid, head, suffix, lead, n, uid, start) of the entries of ``keys``: places and, once for each task, bytes.
+
+    A row with uid is a place of the entry ``cid``; a row without has its bytes (head reversed) and how many places the task saw.
+    ``lead`` is the first window's distance from the anchor.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(key_filter(keys))
 
     def scan(batches):
+        bits = held.value
+        seen: dict[bytes, list] = {}
+        size = 0
+
+        def rows():
+            cids = list(seen)
+            cols = list(zip(*seen.values(), strict=True)) if seen else [[]] * 4
+            k = len(cids)
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cids, pa.binary()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary()), pa.nulls(k, pa.int32()), pa.array(cols[3], pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32())], NAMES)
+
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for text, places in zip(texts, batch.column("places").to_pylist(), strict=True):
-                sums = prefix_sums(np.frombuffer(text, np.uint8), 5)
-                n = np.array([p["n"] for p in places])
-                within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                at = np.repeat([p["start"] for p in places], n) + within
-                take = lambda c, t: pa.array(np.repeat(np.array([p[c] for p in places], t), n))  # noqa: E731, B023
-                yield pa.RecordBatch.from_arrays([take("key", np.int64), take("content", np.int64), pa.array(within.astype(np.int32)), take("copies", np.int64), pa.array(span_hashes(sums, at, at + length).view(np.int64))], ["key", "content", "i", "copies", "hash"])
+            data, offsets = bytes_and_offsets(batch.column("text"))
+            uid = batch.column("uid")
+            for row, start, n, anchor, window, key, text in _entries(data, offsets, length, gram):
+                one, two = _filter_bits(key.view(np.uint64), len(bits))
+                at = np.flatnonzero((bits[one >> 3] >> (7 - (one & 7)).astype(np.uint8) & 1) & (bits[two >> 3] >> (7 - (two & 7)).astype(np.uint8) & 1))
+                if not len(at):
+                    continue
+                raw, ids = text.tobytes(), []
+                for i in at.tolist():
+                    a, w = int(anchor[i]), int(window[i])
+                    head, suffix = raw[w:a][::-1], raw[a : w + int(n[i]) - 1 + length]
+                    cid = xxhash.xxh3_128_digest(len(head).to_bytes(4, "big") + head + suffix)
+                    ids.append(cid)
+                    if cid in seen:
+                        seen[cid][3] += 1
+                    else:
+                        seen[cid] = [int(key[i]), head, suffix, 1]
+                        size += len(head) + len(suffix) + 200
+                k = len(at)
+                yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(ids, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array((anchor - window)[at].astype(np.int32)), pa.nulls(k, pa.int64()), uid.take(pa.array(row[at])), pa.array(start[at].astype(np.int32))], NAMES)
+                if size > 64 << 20:
+                    yield rows()
+                    seen.clear()
+                    size = 0
+        yield rows()
+
+    return docs.select("uid", "text").mapInArrow(scan, "key long, cid binary, head binary, suffix binary, lead int, n long, uid binary, start int")
+
+
+NAMES = ["key", "cid", "head", "suffix", "lead", "n", "uid", "start"]
+
+
+def _common(a: bytes, b: bytes) -> int:
+    return len(os.path.commonprefix((a, b)))
+
+
+def _neighbours(entries: DataFrame, columns: list[str], length: int) -> DataFrame:
+    """(cid, low, high, most): windows that repeat in a neighbour of the sorted order, and the longest common string of the first column.
+
+    Each range of the order is a task; where ranges meet, the last entry of one and the first of the next are compared on the
+    driver, two entries of some hundred bytes for each range.
+    """
+    schema = "cid binary, low int, high int, most int, part int, edge int, head binary, suffix binary"
+    names = ["cid", "low", "high", "most", "part", "edge", "head", "suffix"]
+    by_suffix = columns[0] == "suffix"
+
+    def compared(x, y):
+        h, r = _common(x[1], y[1]), _common(x[2], y[2])
+        return [(e[0], length - r, h, r if by_suffix else h) for e in (x, y)]
+
+    def table(found, edges):
+        rows = [(*f, None, None, None, None) for f in found] + [(e[0], None, None, None, p, k, e[1], e[2]) for e, p, k in edges]
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 8
+        types = [pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
-    listed = written(ends.groupBy("place.uid").agg(F.collect_list(F.struct("key", "content", "copies", "place.start", "place.n")).alias("places")), "places")
-    near = docs.join(sized(listed.select("uid"), 24), "uid", "left_semi").dropDuplicates(["uid"])
-    return near.join(listed, "uid").select("text", "places").mapInArrow(scan, "key long, content long, i int, copies long, hash long")
+    def scan(batches):
+        part, last = TaskContext.get().partitionId(), None
+        for batch in batches:
+            found, edges = [], []
+            for e in zip(batch.column("cid").to_pylist(), batch.column("head").to_pylist(), batch.column("suffix").to_pylist(), strict=True):
+                if last is None:
+                    edges.append((e, part, 0))
+                else:
+                    found += compared(last, e)
+                last = e
+            yield table(found, edges)
+        if last is not None:
+            yield table([], [(last, part, 1)])
+
+    spark = entries.sparkSession
+    ranges = entries.count() // RANGE + 1
+    ordered = entries.select("cid", "head", "suffix").repartitionByRange(max(ranges, 8), *columns).sortWithinPartitions(*columns)
+    out = written(ordered.mapInArrow(scan, schema), "neighbours")
+    ends = sorted((r.part, r.edge, bytes(r.cid), bytes(r["head"]), bytes(r.suffix)) for r in out.filter("edge is not null").collect())
+    found = [f for x, y in zip(ends[1::2], ends[2::2], strict=False) for f in compared(x[2:], y[2:])]
+    met = spark.createDataFrame([(bytearray(c), a, b, m) for c, a, b, m in found], "cid binary, low int, high int, most int")
+    return out.filter("edge is null").select("cid", "low", "high", "most").unionByName(met)
+
+
+def _verdicts(entries: DataFrame, length: int) -> DataFrame:
+    """(cid, runs): for each entry (key, cid, head, suffix, n) the ranges of distances from the anchor at which repeated windows start."""
+    own = entries.select("cid", F.length("head").alias("most_high"), (F.lit(length) - F.length("suffix")).alias("least_low"), "n")
+    right = _neighbours(entries, ["suffix", "head"], length).withColumn("side", F.lit(0))
+    left = _neighbours(entries, ["head", "suffix"], length).withColumn("side", F.lit(1))
+    near = right.unionByName(left).groupBy("cid").agg(F.max(F.when(F.col("side") == 0, F.col("most"))).alias("suffix_most"), F.max(F.when(F.col("side") == 1, F.col("most"))).alias("head_most"), F.collect_list(F.when(F.col("low") <= F.col("high"), F.struct("low", "high"))).alias("runs"))
+    judged = own.join(near, "cid", "left")
+
+    def settle(batches):
+        for batch in batches:
+            cids, runs, gaps = [], [], []
+            for cid, high, low, n, s, h, found in zip(*(batch.column(c).to_pylist() for c in ("cid", "most_high", "least_low", "n", "suffix_most", "head_most", "runs")), strict=True):
+                own_runs = [(low, high)] if n > 1 else merged([(max(r["low"], low), min(r["high"], high)) for r in found or ()])
+                open_gaps, at = [], max(low, length - (s or 0))
+                for a, b in [*own_runs, (min(high, h or 0) + 1, None)]:
+                    if at < a and n == 1:
+                        open_gaps.append((at, min(a - 1, min(high, h or 0))))
+                    at = max(at, (b or 0) + 1)
+                cids.append(cid)
+                runs.append([{"low": a, "high": b} for a, b in own_runs])
+                gaps.append([{"low": a, "high": b} for a, b in open_gaps if a <= b])
+            spans = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.binary()), pa.array(runs, spans), pa.array(gaps, spans)], ["cid", "runs", "gaps"])
+
+    span = "array<struct<low:int,high:int>>"
+    settled = written(judged.mapInArrow(settle, f"cid binary, runs {span}, gaps {span}"), "settled")
+    asked = written(settled.filter(F.size("gaps") > 0).join(entries.select("cid", "key"), "cid").select("key", F.explode("gaps").alias("gap")).select("key", F.explode(F.sequence("gap.low", "gap.high")).alias("at")).distinct(), "asked")
+    if asked.isEmpty():
+        return settled.select("cid", "runs").filter(F.size("runs") > 0)
+    # the windows that start `at` before the anchor, of all entries of the key that have one there, by their bytes
+    window = F.concat(F.hex(F.substring("head", F.lit(1), F.col("at"))), F.lit("|"), F.hex(F.substring("suffix", F.lit(1), F.lit(length) - F.col("at"))))
+    windows = entries.join(sized(asked, 24), "key").filter((F.col("at") <= F.length("head")) & (F.lit(length) - F.col("at") <= F.length("suffix"))).select("cid", "at", "key", F.sha2(window, 256).alias("bytes"), "n")
+    windows = written(windows, "windows")
+    often = windows.groupBy("key", "at", "bytes").agg(F.sum("n").alias("c")).filter("c > 1").select("key", "at", "bytes")
+    more = windows.join(often, ["key", "at", "bytes"], "left_semi").select("cid", F.struct(F.col("at").alias("low"), F.col("at").alias("high")).alias("run"))
+    runs = settled.select("cid", F.explode("runs").alias("run")).unionByName(more).groupBy("cid").agg(F.collect_set("run").alias("runs"))
+    return runs
+
+
+def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges (both ends in) in order, those that meet made one; empty ones gone."""
+    out: list[list[int]] = []
+    for a, b in sorted(ranges):
+        if a > b:
+            continue
+        if out and a <= out[-1][1] + 1:
+            out[-1][1] = max(b, out[-1][1])
+        else:
+            out.append([a, b])
+    return [tuple(x) for x in out]
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
     """(uid, spans): the merged byte ranges of each text that repeated windows cover; ``docs`` has uid and text."""
-    all_entries = written(entries(docs, length, gram).withColumn("batch", F.pmod("uid", F.lit(batches))), "entries")
-    index = LogarithmicIndex()
+    index = LogarithmicIndex(length, gram)
+    number = F.pmod(F.xxhash64("uid"), F.lit(batches))
     for b in range(batches):
         index.merge()
-        index.insert(all_entries.filter(F.col("batch") == b))
-    repeated = written(index.repeated(), "repeated")
-    mixed = repeated.groupBy("key").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1").select("key")
-    ends = repeated.join(sized(written(mixed, "mixed"), 24), "key", "left_semi")
-    windows = written(_windows(docs, ends, length), "windows")
-    often = windows.groupBy("key", "hash").agg(F.sum("copies").alias("c")).filter("c > 1").select("key", "hash")
-    partly = windows.filter("copies = 1").join(often, ["key", "hash"], "left_semi").groupBy("key", "content").agg(F.sort_array(F.collect_set("i")).alias("hits"))
-    wholly = repeated.filter("copies > 1").select("key", "content", F.lit(None).cast("array<int>").alias("hits"))
-    verdicts = written(wholly.unionByName(partly), "verdicts")
-    found = all_entries.join(sized(verdicts, 400), ["key", "content"])
+        index.insert(docs.filter(number == b))
+    keys = index.repeated()
+    found = written(fetched(docs, keys, length, gram).join(sized(keys, 24), "key", "left_semi"), "fetched")
+    entries = written(found.filter("uid is null").groupBy("key", "head", "suffix").agg(F.sum("n").alias("n"), F.min("cid").alias("cid")), "entries")
+    places = found.filter("uid is not null").select("cid", "uid", "start", "lead")
+    verdicts = written(_verdicts(entries, length), "verdicts")
+    discard(keys, entries)
+    hits = places.join(sized(verdicts, 400), "cid").select("uid", "start", "lead", "runs").dropDuplicates(["uid", "start"])
 
     def merge(parts):
         for batch in parts:
             out = []
             for own in batch.column("own").to_pylist():
-                hit: list[list[int]] = []
-                for p in sorted(own, key=lambda p: p["start"]):
-                    for a, b in [(0, p["n"] - 1)] if p["hits"] is None else _runs(p["hits"]):
-                        a, b = p["start"] + a, p["start"] + b + length
-                        if hit and a <= hit[-1][1]:
-                            hit[-1][1] = max(b, hit[-1][1])
-                        else:
-                            hit.append([a, b])
-                out.append([{"a": a, "b": b} for a, b in hit])
+                # a window that starts k before the anchor starts lead - k after the entry's first
+                spans = merged([(p["start"] + p["lead"] - r["high"], p["start"] + p["lead"] - r["low"] + length - 1) for p in own for r in p["runs"]])
+                out.append([{"a": a, "b": b + 1} for a, b in spans])
             yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(out, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], ["uid", "spans"])
 
-    own = found.select("uid", "start", "n", "hits").dropDuplicates(["uid", "start", "n"]).groupBy("uid").agg(F.collect_list(F.struct("start", "n", "hits")).alias("own"))
-    return own.mapInArrow(merge, "uid long, spans array<struct<a:int,b:int>>")
-
+    own = hits.groupBy("uid").agg(F.collect_list(F.struct("start", "lead", "runs")).alias("own"))
+    spans = written(own.mapInArrow(merge, "uid binary, spans array<struct<a:int,b:int>>"), "spans")
+    discard(found, verdicts)
+    return spans
 
-def _runs(hits: list[int]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for i in hits:
-        if out and i == out[-1][1] + 1:
-            out[-1][1] = i
-        else:
-            out.append([i, i])
-    return [tuple(x) for x in out]
 
-
-def _marked(docs: DataFrame, length: int, gram: int, batches: int) -> DataFrame:
-    own = docs.withColumn("uid", row_key())
-    spans = written(repeated_spans(own.select("uid", "text"), length, gram, batches), "spans")
-    return own.join(sized(spans, 64), "uid", "left")
+def _marked(docs: DataFrame, length: int, gram: int, batches: int, uid: str, spans: str) -> DataFrame:
+    """``docs`` with the last column ``spans``."""
+    own = docs.withColumn(uid, row_key())
+    found = repeated_spans(own.select(F.col(uid).alias("uid"), F.col(named(docs, "text")).alias("text")), length, gram, batches)
+    return own.join(sized(found, 64).select(F.col("uid").alias(uid), F.col("spans").alias(spans)), uid, "left").select(*docs.columns, spans)
 
 
 def _kept(text: bytes | None, spans: list | None) -> bytes:
@@ -230,29 +393,23 @@ def _kept(text: bytes | None, spans: list | None) -> bytes:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
     """``docs`` with all repeated windows cut out of ``text``."""
-
-    @F.udf("string")  # only texts with repeats reach it
-    def cut(text, spans):
-        return _kept(text.encode(), spans).decode(errors="ignore")
-
-    columns = docs.columns
-    marked = _marked(docs.drop(*[c for c in columns if c.lower() in ("uid", "spans")]), length, gram, batches)
-    return marked.withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut("text", "spans"))).select([c for c in columns if c in marked.columns])
+    uid, spans = free_names(docs, "uid", "spans")
+    return replaced_text(_marked(docs, length, gram, batches, uid, spans), spans, lambda text, by: _kept(text, by).decode(errors="ignore").encode())
 
 
 def digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
     """The contract of op3."""
 
-    def digests(parts):
-        for batch in parts:
-            n, removed, runs, shas = [], [], [], []
-            for text, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                kept = _kept(text, spans)
-                n.append(len(text or b""))
-                removed.append(n[-1] - len(kept))
-                runs.append(len(spans or ()))
-                shas.append(hashlib.sha256(kept).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(shas)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    marked = _marked(docs.select(F.col("doc_id").cast("long"), "text"), length, gram, batches)
-    return marked.select("doc_id", "text", "spans").mapInArrow(digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    def digests(batch):
+        n, removed, runs, shas = [], [], [], []
+        for text, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            kept = _kept(text, spans)
+            n.append(len(text or b""))
+            removed.append(n[-1] - len(kept))
+            runs.append(len(spans or ()))
+            shas.append(hashlib.sha256(kept).hexdigest())
+        return [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(shas, pa.string())]
+
+    marked = _marked(docs.select(F.col("doc_id").cast("long"), "text"), length, gram, batches, "uid", "spans")
+    columns = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return appended(marked, columns, lambda: digests).drop("text", "spans")

@@ -2,24 +2,28 @@
 
 Texts (A-Z lower-cased) are cut into windows of ``WINDOW_WORDS`` words. Each window is compressed once with the ordinary and
 once with the toxic dictionary; the bytes that the toxic one saves tell how toxic the window is. A logistic
-function of the text's largest, two largest and mean savings gives the score.
+function of how many windows save how much gives the score.
 
-Both dictionaries are raw content of one size over the same ordinary words, so their lengths differ only by what the
-toxic one holds instead of filler: the segments (word beginnings and whole words) that enough
-distinct toxic texts hold (``support``) and that are ``RATIO`` times as frequent among toxic as among ordinary texts. Dictionaries from
-zstandard's own trainer mostly hold passages of single documents; windows then differ by chance.
+Each dictionary is trained on the texts of its own class only, by one rule and to one size: as zstandard's trainer does, it
+takes the segments that save most over all samples, here whole words, as passages do not repeat in text of this kind (with
+passages of zstandard's own trainer, windows differ by which documents the passages came from). A word counts once for each text,
+must stand in a ``SHARE`` of them, and the most frequent ones come last, where references are cheapest.
 
 Training takes a documented, bounded sample: at most ``MAX_TOXIC`` and ``MAX_ORDINARY`` labelled texts of the training
-folds, those with the smallest hash of their doc_id. Calibration is cross-fitted over two halves of the sample, as
-texts that a dictionary was made from say too much about themselves. The score of 0.7 lies where F1 is best there.
+folds, those with the smallest hash of their doc_id, and of texts beyond ``TRAIN_BYTES`` pieces spread evenly over the text.
+It runs in one task of an executor, and only the model reaches the driver. Calibration is cross-fitted over two halves of the
+sample, as texts that a dictionary was made from say too much about themselves. The score of 0.7 lies where F1 is best among
+cuts at which at least ``PRECISION`` of what is called toxic is (where none is, half of it).
 
 Defined results: null and empty texts have one empty window and get the score of no saving; without toxic or without
-ordinary training rows all scores are 0; duplicate labels of a doc_id count once (the largest); extra columns pass.
+ordinary training rows all scores are 0; duplicate labels of a doc_id count once (the largest), and of its rows one
+text (the smallest); extra columns pass, also those named as ours.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from dataclasses import dataclass
 
@@ -29,13 +33,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WINDOW_WORDS = 12
-ORDINARY_BYTES, TOXIC_BYTES = 98_304, 8_192
-RATIO = 6.0
-MAX_TOXIC, MAX_ORDINARY = 1_500, 3_000
-CUT = 0.7
-#: Bytes of the word beginnings that may become segments, with the space before them.
-SEGMENTS = (4, 5, 6, 7, 8, 9, 10, 12)
+from factloom.llm.common import appended, free_names, named
+
+WINDOW_WORDS = 4
+DICTIONARY_BYTES = 4_096
+SHARE = 0.02
+MAX_TOXIC, MAX_ORDINARY = 3_000, 6_000
+TRAIN_BYTES = 65_536
+CUT, PRECISION = 0.7, 0.75
+#: Savings in bytes whose windows are counted.
+STEPS = np.arange(2, 7)
 _STRIP = bytes(range(33, 48)) + b":;<=>?@[]^_`{|}~"
 
 
@@ -48,56 +55,24 @@ def windows(text: bytes) -> list[bytes]:
     return [b" " + b" ".join(words[i : i + WINDOW_WORDS]) + b" " for i in range(0, len(words), WINDOW_WORDS)] or [b"  "]
 
 
-def support(texts: int) -> int:
-    """How many distinct texts a segment needs: 3 of a few dozen texts, 8 of a hundred, one in 40 of many."""
-    return max(3, min(8, texts // 12), texts // 40)
-
-
-def _segments(word: bytes) -> set[bytes]:
-    w = b" " + word + b" "
-    return {w[:k] for k in SEGMENTS if k < len(w)} | {w}
-
-
-def _words(text: bytes) -> set[bytes]:
-    return {w.strip(_STRIP) for w in text.lower().split()}
-
-
-def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
-    """(ordinary, toxic) dictionary contents of equal size."""
-    toxic_sets, ordinary_sets = [_words(t) for t in toxic], [_words(t) for t in ordinary]
-    known: dict[bytes, set[bytes]] = {}
-    in_toxic: Counter[bytes] = Counter()
-    for words in toxic_sets:
-        in_toxic.update(set().union(*(known.setdefault(w, _segments(w)) for w in words)))
-    least = support(len(toxic))
-    likely = {s for s, n in in_toxic.items() if n >= least}
-    few: dict[bytes, set[bytes]] = {}
-    in_ordinary: Counter[bytes] = Counter()
-    whole: Counter[bytes] = Counter()
-    for words in ordinary_sets:
-        whole.update(words)
-        for w in words:
-            if w not in few:
-                few[w] = _segments(w) & likely
-        in_ordinary.update(set().union(*(few[w] for w in words)))
-
-    def odds(n_toxic: int, n_ordinary: int) -> float:
-        return (n_toxic + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (n_ordinary + 0.5)
-
-    telling = {s for s in likely if odds(in_toxic[s], in_ordinary[s]) >= RATIO}
-    inner = {s.strip() for s in telling}
+def train_dictionary(texts: list[bytes]) -> bytes:
+    """The words that save most over ``texts``, within DICTIONARY_BYTES.
 
-    def holds_telling(word: bytes) -> bool:
-        return any(word[i : i + k - 1] in inner for k in SEGMENTS for i in range(len(word)))
-
-    segments: list[bytes] = []
-    for s in sorted(telling, key=lambda s: (-len(s), s)):
-        if not any(s in longer and in_toxic[longer] >= 0.8 * in_toxic[s] for longer in segments):
-            segments.append(s)
-    extra = b"".join(sorted(segments, key=lambda s: (in_toxic[s], s)))[-TOXIC_BYTES:]
-    common = [w for w, n in whole.items() if n >= 3 and odds(in_toxic[b" " + w + b" "], n) <= 1.5 and not holds_telling(w)]
-    base = b"".join(b" " + w for w in sorted(common, key=lambda w: (whole[w], w)))[-ORDINARY_BYTES:] + b" "
-    return bytes(len(extra)) + base, extra + base
+    The most frequent come last, words of about one frequency in the order of the alphabet: what both classes hold then lies at about
+    one distance in both dictionaries, and costs the same.
+    """
+    held: Counter[bytes] = Counter()
+    for t in texts:
+        held.update({w.strip(_STRIP) for w in t.lower().split()})
+    least = max(3, SHARE * len(texts))
+    chosen, total = [], 0
+    for word, n in sorted(held.items(), key=lambda x: (-x[1] * (len(x[0]) - 2), x[0])):
+        if n >= least and len(word) > 2:
+            chosen.append((math.floor(2 * math.log2(n / len(texts))), b" " + word))
+            total += len(word) + 1
+            if total >= DICTIONARY_BYTES:
+                break
+    return b"".join(word for _, word in sorted(chosen)).rjust(DICTIONARY_BYTES, b"\0") + b" "
 
 
 @dataclass
@@ -131,9 +106,11 @@ def feature_maker(ordinary: bytes, toxic: bytes):
 
     long, short = compressor(ordinary), compressor(toxic)
 
-    def features(text: bytes) -> tuple[float, float, float]:
-        saved = sorted((len(long(w)) - len(short(w)) for w in windows(text)), reverse=True)
-        return math.log1p(max(0, saved[0])), math.log1p(max(0, sum(saved[:2]))), math.log1p(max(0.0, 4 * sum(saved) / len(saved)))
+    def features(text: bytes) -> tuple[float, ...]:
+        saved = np.sort([len(long(w)) - len(short(w)) for w in windows(text)])
+        n = len(saved)
+        many = n - np.searchsorted(saved, STEPS)
+        return (math.log1p(max(0, saved[-1])), math.log1p(max(0, saved[-4:].sum())), float(saved.mean()), *np.log1p(many).tolist(), *(many[1:4] / n).tolist(), math.log1p(n))
 
     return features
 
@@ -153,11 +130,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def _best_cut(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """The value between two scores at which calling everything above it toxic has the best F1, half of it rightly."""
+    """The value between two scores at which calling everything above it toxic has the best F1, PRECISION or half of it rightly."""
     order = np.argsort(-z, kind="stable")
     z, hit, called = z[order], np.cumsum((y * weight)[order]), np.cumsum(weight[order])
-    f1 = np.where(2 * hit >= called, 2 * hit / (called + (y * weight).sum()), 0.0)
+    f1 = 2 * hit / (called + (y * weight).sum())
     f1[:-1][z[:-1] == z[1:]] = 0  # equal scores fall on one side
+    right = hit / called
+    f1 = f1 * (right >= (PRECISION if ((right >= PRECISION) & (f1 > 0)).any() else 0.5))
     i = int(f1.argmax())
     if not f1[i]:
         return float(z[0]) + 1
@@ -171,7 +150,7 @@ def train(toxic: list[bytes], ordinary: list[bytes], ordinary_weight: float = 1.
         return Model()
     x, y = [], []
     for side in (0, 1):  # by turns, so that either half has texts of all kinds
-        features = feature_maker(*train_dictionaries(toxic[1 - side :: 2], ordinary[1 - side :: 2]))
+        features = feature_maker(train_dictionary(ordinary[1 - side :: 2]), train_dictionary(toxic[1 - side :: 2]))
         for label, texts in ((1, toxic[side::2]), (0, ordinary[side::2])):
             x += [features(t) for t in texts]
             y += [label] * len(texts)
@@ -179,43 +158,65 @@ def train(toxic: list[bytes], ordinary: list[bytes], ordinary_weight: float = 1.
     weight = np.where(y == 1, 1.0, ordinary_weight)
     weights = _logistic(x, y, weight)
     cut = _best_cut(weights[0] + x @ weights[1:], y, weight)
-    return Model(*train_dictionaries(toxic, ordinary), tuple(weights.tolist()), math.log(CUT / (1 - CUT)) - cut)
+    return Model(train_dictionary(ordinary), train_dictionary(toxic), tuple(weights.tolist()), math.log(CUT / (1 - CUT)) - cut)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
 
 
+def _sampled(text: str | None) -> bytes:
+    """The text, or TRAIN_BYTES of it in pieces spread evenly."""
+    raw = (text or "").encode()
+    if len(raw) <= TRAIN_BYTES:
+        return raw
+    pieces = 16
+    size, step = TRAIN_BYTES // pieces, len(raw) // pieces
+    return b" ".join(raw[i * step : i * step + size] for i in range(pieces))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model of a bounded sample of the labelled rows outside the held-out fold."""
     marks = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     total = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = marks.filter("toxic = 1").orderBy(*order).limit(MAX_TOXIC).unionByName(marks.filter("toxic = 0").orderBy(*order).limit(MAX_ORDINARY))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect()  # MAX_TOXIC + MAX_ORDINARY ids at most
-    rows.sort(key=lambda r: r.doc_id)
-    toxic, ordinary = ([(r.text or "").encode() for r in rows if r.toxic == label] for label in (1, 0))
-    weight = total.get(0, 0) / max(1, len(ordinary)) * len(toxic) / max(1, total.get(1, 0))
-    return train(toxic, ordinary, weight)
+    # MAX_TOXIC + MAX_ORDINARY ids at most
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
 
+    def learn(batches):
+        texts: dict[int, list[bytes]] = {0: [], 1: []}
+        for batch in batches:
+            for label, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                texts[label].append(_sampled(text))
+        toxic, ordinary = texts[1], texts[0]
+        weight = total.get(0, 0) / max(1, len(ordinary)) * len(toxic) / max(1, total.get(1, 0))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(toxic, ordinary, weight))])], ["model"])
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [f for f in docs.schema if f.name.lower() not in ("score", "predicted")]
+    learned = rows.repartition(1).mapInArrow(learn, "model binary").first()
+    return pickle.loads(learned["model"]) if learned else Model()
 
-    def scores(batches):
-        own = shared.value.scorer()
-        for batch in batches:
-            values = np.array([own(t or b"") for t in batch.column("text").cast(pa.binary()).to_pylist()], float)
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(values), pa.array((values >= CUT).astype(np.int32))], [*(f.name for f in kept), "score", "predicted"])
 
-    return docs.mapInArrow(scores, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["score double", "predicted int"]))
+def score(docs: DataFrame, model: Model, score: str = "score", predicted: str = "predicted") -> DataFrame:
+    """``docs`` with the columns ``score`` and ``predicted``, whose names must be free."""
+    text = named(docs, "text")
+
+    def make():
+        own = model.scorer()
+
+        def scores(batch):
+            values = np.array([own(t or b"") for t in batch.column(text).cast(pa.binary()).to_pylist()], float)
+            return [pa.array(values), pa.array((values >= CUT).astype(np.int32))]
+
+        return scores
+
+    return appended(docs, f"`{score}` double, `{predicted}` int", make)  # the model is two dictionaries of DICTIONARY_BYTES
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    columns = docs.columns
-    return score(docs, fit(docs, labels)).filter("predicted = 0").select(columns)
+    """``docs`` without the documents that are predicted toxic."""
+    names = free_names(docs, "score", "predicted")
+    return score(docs, fit(docs, labels), *names).filter(F.col(names[1]) == 0).select(docs.columns)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
