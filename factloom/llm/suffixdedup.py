@@ -46,6 +46,8 @@ PIECE = (1 << 20) - 4096
 #: Largest size of the filter on K-byte hashes; beyond it more suffixes are fetched, and dropped by the join.
 FILTER_BYTES = 16 << 20
 FILTER_CHUNK = 1 << 16
+#: Bytes of distinct suffixes that a task holds before it hands them on.
+TASK_BYTES = 32 << 20
 #: Suffixes that a task of the sorted order holds on average.
 RANGE = 50_000
 
@@ -234,7 +236,7 @@ def fetched(docs: DataFrame, keys: DataFrame, length: int, gram: int) -> DataFra
                         size += len(head) + len(suffix) + 200
                 k = len(at)
                 yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(ids, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array((anchor - window)[at].astype(np.int32)), pa.nulls(k, pa.int64()), uid.take(pa.array(row[at])), pa.array(start[at].astype(np.int32))], NAMES)
-                if size > 64 << 20:
+                if size > TASK_BYTES:
                     yield rows()
                     seen.clear()
                     size = 0
@@ -359,23 +361,37 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
     places = found.filter("uid is not null").select("cid", "uid", "start", "lead")
     verdicts = written(_verdicts(entries, length), "verdicts")
     discard(keys, entries)
-    hits = places.join(sized(verdicts, 400), "cid").select("uid", "start", "lead", "runs").dropDuplicates(["uid", "start"])
+    # a window that starts k before the anchor starts lead - k after the entry's first
+    hits = places.join(sized(verdicts, 400), "cid").select("uid", (F.col("start") + F.col("lead")).alias("anchor"), F.explode("runs").alias("run"))
+    covered = hits.select("uid", (F.col("anchor") - F.col("run.high")).alias("a"), (F.col("anchor") - F.col("run.low") + length).alias("b"))
 
     def merge(parts):
+        """Of sorted ranges those that meet made one: one row is held at a time."""
+        held = None
         for batch in parts:
             out = []
-            for own in batch.column("own").to_pylist():
-                # a window that starts k before the anchor starts lead - k after the entry's first
-                spans = merged([(p["start"] + p["lead"] - r["high"], p["start"] + p["lead"] - r["low"] + length - 1) for p in own for r in p["runs"]])
-                out.append([{"a": a, "b": b + 1} for a, b in spans])
-            yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(out, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], ["uid", "spans"])
-
-    own = hits.groupBy("uid").agg(F.collect_list(F.struct("start", "lead", "runs")).alias("own"))
-    spans = written(own.mapInArrow(merge, "uid binary, spans array<struct<a:int,b:int>>"), "spans")
+            for uid, a, b in zip(*(batch.column(c).to_pylist() for c in ("uid", "a", "b")), strict=True):
+                if held and held[0] == uid and a <= held[2]:
+                    held = (uid, held[1], max(b, held[2]))
+                else:
+                    if held:
+                        out.append(held)
+                    held = (uid, a, b)
+            yield _span_rows(out)
+        if held:
+            yield _span_rows([held])
+
+    runs = covered.repartition("uid").sortWithinPartitions("uid", "a").mapInArrow(merge, "uid binary, a int, b int")
+    spans = written(runs.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")), "spans")
     discard(found, verdicts)
     return spans
 
 
+def _span_rows(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32())], ["uid", "a", "b"])
+
+
 def _marked(docs: DataFrame, length: int, gram: int, batches: int, uid: str, spans: str) -> DataFrame:
     """``docs`` with the last column ``spans``."""
     own = docs.withColumn(uid, row_key())
