@@ -1,32 +1,34 @@
-"""N-gram Jaccard join: count vectors in R-trees bound the overlap, surviving pairs are verified.
+"""N-gram Jaccard join: count vectors in R-trees find the candidates, which are verified on their sets.
 
 Let t be the threshold (a ratio of integers). Two sets link when |A & B| >= t |A | B|; then at most
 (1 - t) / (1 + t) * (|A| + |B|) shingles are in one of them only.
 
-1. Shingles are hashed into groups. Sets of equal content share an id, so copies take part once.
-2. *Routing.* With more groups than differing shingles, two linked sets agree on the whole content of some groups. A size
-   class has that many groups; each set sends, for each of its groups, a digest of the group's content, to its own
-   size class and to the one its largest partners are in. Sets that share no digest can not link. Groups
-   that hold nothing are sent only by sets with many of them, which keeps the routing lossless (see ``SizeClass``).
-   A passage that many texts share fills no whole group and makes no digests equal.
-3. *First round.* In each block of equal digests the smallest set is compared to the others: one pair for each member,
-   not one for each pair; first the pair of each set that shares most blocks, then those between components. Pairs whose vectors' coordinate minima sum to less than the needed overlap go at once; the
-   others are verified on their sets. Links make components.
-4. *Second round.* Blocks whose members are still in several components are joined by an R-tree over their
-   count vectors: a node's largest coordinates and smallest size bound the overlap of all below it. Only pairs between
-   different components come out, and those that survive are verified. Large blocks are cut into pages; each pair of
-   pages is a task of its own.
+1. *Points.* Shingles are hashed into ``GROUPS`` groups; a set is the point of its groups' counts. The sum of the coordinate
+   minima of two points bounds the overlap of their sets. Sets of equal content share an id of 128 bits, so copies take part once.
+2. *Regions.* One R-tree over all points of a corpus fits no task, and its boxes would meet in so many dimensions; so points that may
+   link are first brought together. With more groups than differing shingles two linked sets agree on the whole content of some
+   groups: each set sends a digest of the content of its fullest groups, more of them than differ (``digests``). Sets that
+   send an equal digest are in one region. No pair is made here, and a passage that many texts share fills few groups wholly.
+3. *R-trees.* All pairs come from the search of an R-tree over the points of a region, whose boxes (largest coordinates, smallest size)
+   bound the overlap of all below them. First each set is searched in its largest region only, and of what is found a spanning forest goes
+   on; the most central set of the region, which shares most, is in each of its pages. What is verified is contracted to
+   components.
+4. Then all regions that hold several components are searched for pairs between them, from the members of all components but the largest:
+   first the best pair of a set and a component, then, after these are verified and contracted, all that are left.
 5. Components of all links; members of one set id share theirs.
 
-All digests are shuffled once, 16 bytes each; a task streams its sorted digests and keeps those that several sets send.
+Regions beyond a page are cut: each page of searching sets meets each page of the others in a task of its own. Digests are shuffled once,
+16 bytes each; a task streams them. A set is sent once for each hub that it is compared to, and verification streams them too.
 
 Defined results: null and empty texts and texts without words have an empty set and link with nothing; a text of fewer
-words than a shingle is one shingle; a null doc_id counts as the lowest; repeated rows are copies; extra columns pass.
+words than a shingle is one shingle; a null doc_id counts as the lowest; repeated rows are copies; extra columns pass, also those
+named as ours. ``dedup`` decides for each row: where rows share a doc_id, each goes or stays by its own text.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,20 +36,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import doc_key, from_key, sized, written
+from factloom.llm.common import discard, doc_key, free_names, from_key, named, row_key, sized, written
 from factloom.llm.shingles import shingle_sets, sums_by
-from factloom.llm.textscan import bytes_and_offsets, mix
+from factloom.llm.textscan import mix
 from factloom.operators.graph import connected_components
 
 #: Coordinates of a count vector.
-GROUPS = 32
+GROUPS = 256
 #: Sizes of one class differ by this factor at most.
 CLASS_RATIO = 1.5
-#: Members of a block that one R-tree holds.
+#: Up to this size each shingle is a group of its own.
+SMALL = 24
+#: Members of a region that one R-tree holds, and that search it in one task.
 PAGE = 512
 FANOUT = 16
-#: Sets of a page when pairs are verified.
+#: Sets that a task compares to one hub.
 TASK_SETS = 256
+FULL = 65535
 
 
 @dataclass(frozen=True)
@@ -55,6 +60,10 @@ class Threshold:
     num: int
     den: int
 
+    def __post_init__(self) -> None:
+        if self.num * CLASS_RATIO < self.den:
+            raise ValueError(f"a threshold under 1/{CLASS_RATIO} would reach beyond the next size class")
+
     def linked(self, overlap: int, a: int, b: int) -> bool:
         return overlap > 0 and self.den * overlap >= self.num * (a + b - overlap)
 
@@ -67,74 +76,67 @@ class Threshold:
         return 2 * (size * (self.den - self.num)) // (self.num + self.den)
 
 
-@dataclass(frozen=True)
-class SizeClass:
-    """Groups of the sets of up to ``high`` shingles.
-
-    Linked sets differ in at most ``differing`` groups, so they agree on ``groups - differing`` or more. If all of those were
-    empty, each set would have that many empty groups: sets with ``empties`` = groups - differing empty groups send their empty
-    groups too, all others need not.
-    """
-
-    number: int
-    high: int
-    groups: int
-    empties: int
+def size_class(size):
+    """The number of a size's class."""
+    return np.floor(np.log(np.maximum(size, 1)) / math.log(CLASS_RATIO) + 1e-9).astype(np.int64)
 
 
-def size_classes(t: Threshold):
-    """A function from set sizes to their classes' numbers, and one from numbers to classes."""
+def highest(k: int) -> int:
+    """The largest size of class ``k``."""
+    return math.ceil(CLASS_RATIO ** (k + 1))
 
-    def number(size):
-        return np.floor(np.log(np.maximum(size, 1)) / math.log(CLASS_RATIO) + 1e-9).astype(np.int64)
 
-    def size_class(k: int) -> SizeClass:
-        low, high = max(1, math.floor(CLASS_RATIO**k)), math.ceil(CLASS_RATIO ** (k + 1))
-        d = t.differing(high)
-        slack = 1
-        if d:  # enough groups that hardly any set has as many empty ones as there are to spare
-            empty = (d + 3) * math.exp(-low / (d + 3))
-            slack = 3 + math.ceil(empty + 6 * math.sqrt(empty))
-        return SizeClass(k, high, d + slack, slack)
-
-    return number, size_class
-
-
-def points(docs: DataFrame, n: int) -> DataFrame:
-    """did, size, sid (id of the set; null if empty) and vector (counts of its groups) of each document."""
+def points(docs: DataFrame, n: int, keys: list[str]) -> DataFrame:
+    """``keys`` with size, sid (128-bit id of the set; null if empty) and vector (counts of its groups) of each document."""
+    fields = [f for f in docs.schema if f.name in keys]
 
     def scan(batches):
         for batch in batches:
-            data, offsets = bytes_and_offsets(batch.column("text"))
-            size, sid = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.uint64)
-            vectors = np.zeros((batch.num_rows, GROUPS), np.uint16)
-            for first, end, rows, h in shingle_sets(data, offsets, n):
+            size, ids = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows
+            vectors: list[bytes] = []
+            for first, end, rows, h in shingle_sets(batch.column("text").cast(pa.binary()).to_pylist(), n):
                 size[first:end] = np.bincount(rows, minlength=end - first)
-                at, ids = set_ids(rows, h)
-                sid[first + at] = ids
-                vectors[first:end] = count_vectors(rows, h, end - first)
-            yield pa.RecordBatch.from_arrays([batch.column("did"), pa.array(size), pa.array(sid.view(np.int64), mask=size == 0), pa.array([v.tobytes() for v in vectors], pa.binary())], ["did", "size", "sid", "vector"])
+                for at, sid in set_ids(rows, h):
+                    ids[first + at] = sid
+                vectors += [v.tobytes() for v in count_vectors(rows, h, end - first)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(size), pa.array(ids, pa.binary()), pa.array(vectors, pa.binary())], [*(f.name for f in fields), "size", "sid", "vector"])
+
+    return docs.select(*keys, "text").mapInArrow(scan, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", size long, sid binary, vector binary")
 
-    return docs.select(doc_key().alias("did"), "text").mapInArrow(scan, "did long, size long, sid long, vector binary")
+
+def set_ids(rows: np.ndarray, h: np.ndarray) -> list[tuple[int, bytes]]:
+    """(row, 128-bit id of its content) of the rows that have shingles."""
+    if not len(h):
+        return []
+    at, one = sums_by(mix(h + np.uint64(0x5851F42D4C957F2D)), rows)
+    _, two = sums_by(mix(h ^ np.uint64(0x14057B7EF767814F)), rows)
+    size = np.bincount(rows)[at].astype(np.uint64)
+    both = np.stack([mix(one + size), mix(two ^ size)], axis=1).astype(np.uint64)
+    return [(r, b.tobytes()) for r, b in zip(at.tolist(), both, strict=True)]
 
 
-def set_ids(rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at, total = sums_by(mix(h + np.uint64(0x5851F42D4C957F2D)), rows)
-    return at, mix(total + np.bincount(rows)[at].astype(np.uint64))
+def short_id(sid):
+    """64 bits of the set id for the digests' shuffle; sets that share them are told apart afterwards."""
+    return F.xxhash64(sid)
 
 
 def count_vectors(rows: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
-    cells = rows * GROUPS + (h >> np.uint64(64 - 5)).astype(np.int64)
-    return np.minimum(np.bincount(cells, minlength=n * GROUPS), 65535).reshape(n, GROUPS).astype(np.uint16)
+    cells = rows * GROUPS + (h >> np.uint64(56)).astype(np.int64)
+    return np.minimum(np.bincount(cells, minlength=n * GROUPS), FULL).reshape(n, GROUPS).astype(np.uint16)
 
 
 def digests(rows: np.ndarray, h: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """(row, digest) of the groups that each set sends."""
-    number, size_class = size_classes(t)
+    """(row, digest) of the groups that each set sends to its own size class and to that of its largest partners.
+
+    Linked sets of a class differ in at most d groups. A set sends all its groups that hold r shingles or more, for the largest r that
+    more than d of its groups hold. Of two linked sets take that with the larger r: one of the more than d groups that it sends
+    is equal in the other, which holds r there as well and so sends it too. (r is 0, and empty groups are sent, only by sets with d
+    or fewer groups that hold any.)
+    """
     if not len(h):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     size = np.bincount(rows)
-    own, largest = number(size), number(np.maximum(size * t.den // t.num, 1))
+    own, largest = size_class(size), size_class(np.maximum(size * t.den // t.num, 1))
     content = mix(h ^ np.uint64(0x2545F4914F6CDD1D))
     spread = mix(h + np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
     out_rows, out = [], []
@@ -142,20 +144,31 @@ def digests(rows: np.ndarray, h: np.ndarray, t: Threshold) -> tuple[np.ndarray,
         sends = (size > 0) & ((own == k) | (largest == k))
         if not sends.any():
             continue
-        c = size_class(k)
-        mine = sends[rows]
-        cell = rows[mine] * c.groups + (spread[mine] * np.uint64(c.groups) >> np.uint64(32)).astype(np.int64)
+        mine, d, salt = sends[rows], t.differing(highest(k)), mix(np.array([k << 32], np.uint64))
+        if not d or highest(k) <= SMALL:  # whole sets, or shingles
+            row, total = sums_by(content[mine], rows[mine]) if not d else (rows[mine], content[mine])
+            out_rows.append(row)
+            out.append(mix(total + salt))
+            continue
+        groups = d + d // 4 + 2
+        cell = rows[mine] * groups + (spread[mine] * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(cell, kind="stable")
         at, total = sums_by(content[mine][order], cell[order])
-        row, group = at // c.groups, at % c.groups
-        salt = mix(np.arange(c.groups, dtype=np.uint64) + np.uint64(k << 32))
-        out_rows.append(row)
-        out.append(mix(total + salt[group]))
+        load = np.bincount(cell)[at]
+        row, group = at // groups, at % groups
+        # the load of the (d + 1)-th fullest group of each row
+        ranked = np.lexsort((-load, row))
+        start = np.searchsorted(row[ranked], np.arange(len(size)))
         held = np.bincount(row, minlength=len(size))
-        for r in np.flatnonzero(sends & (c.groups - held >= c.empties)) if c.groups > 1 else ():
-            empty = np.setdiff1d(np.arange(c.groups), group[row == r])
+        least = np.where(held > d, load[ranked][np.minimum(start + d, len(load) - 1)], 0)
+        send = load >= least[row]
+        salts = mix(np.arange(groups, dtype=np.uint64) + salt)
+        out_rows.append(row[send])
+        out.append(mix(total[send] + salts[group[send]]))
+        for r in np.flatnonzero(sends & (held <= d)):
+            empty = np.setdiff1d(np.arange(groups), group[row == r])
             out_rows.append(np.full(len(empty), r))
-            out.append(mix(salt[empty]))
+            out.append(mix(salts[empty]))
     return np.concatenate(out_rows), np.concatenate(out)
 
 
@@ -163,73 +176,66 @@ def routed(docs: DataFrame, n: int, t: Threshold) -> DataFrame:
     """(digest, sid): each set's digests, once for each task that has a copy of it."""
 
     def scan(batches):
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for batch in batches:
-            data, offsets = bytes_and_offsets(batch.column("text"))
-            for _, _, rows, h in shingle_sets(data, offsets, n):
-                at, ids = set_ids(rows, h)
-                new = np.zeros(int(rows[-1]) + 1 if len(rows) else 0, bool)
-                sid = np.zeros(len(new), np.uint64)
-                sid[at] = ids
-                for r, i in zip(at.tolist(), ids.tolist(), strict=True):
+            for _, _, rows, h in shingle_sets(batch.column("text").cast(pa.binary()).to_pylist(), n):
+                sid = [None] * (int(rows[-1]) + 1 if len(rows) else 0)
+                new = np.zeros(len(sid), bool)
+                for r, i in set_ids(rows, h):
                     if i not in seen:
                         seen.add(i)
-                        new[r] = True
+                        new[r], sid[r] = True, i
                 own = new[rows]
                 row, digest = digests(rows[own], h[own], t)
-                yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), pa.array(sid[row].view(np.int64))], ["digest", "sid"])
+                yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), pa.array(sid, pa.binary()).take(pa.array(row))], ["digest", "sid"])
 
-    return docs.select("text").mapInArrow(scan, "digest long, sid long")
+    return docs.select("text").mapInArrow(scan, "digest long, sid binary").select("digest", short_id("sid").alias("short"))
 
 
-def blocks_of(sig: DataFrame) -> DataFrame:
-    """(digest, sid, pivot) of the digests that several sets send; the pivot is the block's smallest sid.
+def regions(sig: DataFrame) -> DataFrame:
+    """(digest, short) of the digests that several sets send.
 
     The only shuffle of all digests. Each task streams its sorted rows and holds one of them at a time, so neither a
     frequent digest nor a large task needs memory. A set that sent a digest twice (repeated rows) counts once.
     """
 
     def scan(batches):
-        held = None  # the last row: digest, sid, pivot, whether its block has an earlier row
+        held = None  # the last row: digest, short, whether its region has an earlier row
         for batch in batches:
-            d, s = (batch.column(c).to_numpy() for c in ("digest", "sid"))
+            d, s = (batch.column(c).to_numpy() for c in ("digest", "short"))
             if held:
                 d, s = np.append(held[0], d), np.append(held[1], s)
             if not len(d):
                 continue
             again = np.append(False, (d[1:] == d[:-1]) & (s[1:] == s[:-1]))
             d, s = d[~again], s[~again]
-            follows = np.append(bool(held and held[3]), d[1:] == d[:-1])
-            start = np.maximum.accumulate(np.where(np.append(True, d[1:] != d[:-1]), np.arange(len(d)), 0))
-            pivot = s[start]
-            if held:
-                pivot[start == 0] = held[2]
+            follows = np.append(bool(held and held[2]), d[1:] == d[:-1])
             inside = np.flatnonzero(follows[:-1] | follows[1:])
-            held = (d[-1], s[-1], pivot[-1], follows[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(x[inside]) for x in (d, s, pivot)], ["digest", "sid", "pivot"])
-        if held and held[3]:
-            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held[:3]], ["digest", "sid", "pivot"])
+            held = (d[-1], s[-1], follows[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(x[inside]) for x in (d, s)], ["digest", "short"])
+        if held and held[2]:
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held[:2]], ["digest", "short"])
 
-    return sig.repartition("digest").sortWithinPartitions("digest", "sid").mapInArrow(scan, "digest long, sid long, pivot long")
+    return sig.repartition("digest").sortWithinPartitions("digest", "short").mapInArrow(scan, "digest long, short long")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(sid, hashes) of the wanted set ids."""
+    """(sid, hashes) of the documents ``wanted`` (did)."""
 
     def scan(batches):
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for batch in batches:
-            data, offsets = bytes_and_offsets(batch.column("text"))
-            for _, _, rows, h in shingle_sets(data, offsets, n):
-                at, ids = set_ids(rows, h)
-                start = np.searchsorted(rows, at)
-                new = [k for k, i in enumerate(ids.tolist()) if i not in seen]
-                seen.update(ids[new].tolist())
-                lists = [h[start[k] : start[k + 1] if k + 1 < len(start) else len(h)].tobytes() for k in new]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[new].view(np.int64)), pa.array(lists, pa.binary())], ["sid", "hashes"])
+            for _, _, rows, h in shingle_sets(batch.column("text").cast(pa.binary()).to_pylist(), n):
+                ids, lists = [], []
+                for r, sid in set_ids(rows, h):
+                    if sid not in seen:
+                        seen.add(sid)
+                        ids.append(sid)
+                        lists.append(h[np.searchsorted(rows, r) : np.searchsorted(rows, r, "right")].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(lists, pa.binary())], ["sid", "hashes"])
 
     near = docs.join(sized(wanted.select("did").distinct(), 24), "did", "left_semi").select("text")
-    return near.mapInArrow(scan, "sid long, hashes binary")
+    return near.mapInArrow(scan, "sid binary, hashes binary")
 
 
 class CountVectorTree:
@@ -242,161 +248,230 @@ class CountVectorTree:
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray, t: Threshold):
         self.t = t
         self.order = np.lexsort((*vectors.T[:4], sizes))
-        self.levels = [(vectors[self.order].astype(np.int64), sizes[self.order])]
+        self.levels = [(vectors[self.order], sizes[self.order])]
         while len(self.levels[-1][1]) > FANOUT:
             most, least = self.levels[-1]
             cut = np.arange(0, len(least), FANOUT)
             self.levels.append((np.maximum.reduceat(most, cut), np.minimum.reduceat(least, cut)))
 
-    def search(self, vector: np.ndarray, size: int) -> np.ndarray:
-        """Places of the points that may link with the query."""
-        at = np.arange(len(self.levels[-1][1]))
+    def search(self, vector: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the points that may link with the query, and by how much the bound exceeds the overlap needed."""
+        at, over = np.arange(len(self.levels[-1][1])), None
         for depth in range(len(self.levels) - 1, -1, -1):
             most, least = self.levels[depth]
-            bound = np.minimum(most[at], vector).sum(axis=1)
-            at = at[bound >= self.t.needed(size + least[at])]
+            low = np.minimum(most[at], vector)
+            over = low.sum(axis=1, dtype=np.int64) - self.t.needed(size + least[at])
+            over[(low == FULL).any(axis=1)] = 1 << 40  # counts that did not fit bound nothing
+            fits = over >= 0
+            at, over = at[fits], over[fits]
             if depth:
                 at = (at[:, None] * FANOUT + np.arange(FANOUT)).ravel()
                 at = at[at < len(self.levels[depth - 1][1])]
-        return self.order[at]
+        return self.order[at], over
+
+    def forest(self, first: np.ndarray) -> list[tuple[int, int]]:
+        """A spanning forest of the pairs that the search finds, grown from the points in the order ``first``."""
+        vectors, sizes = self.levels[0]
+        place = np.empty(len(sizes), np.int64)
+        place[self.order] = np.arange(len(sizes))
+        new, left, pairs = np.ones(len(sizes), bool), len(sizes), []
+        for start in first.tolist():
+            if not left:
+                break
+            if not new[start]:
+                continue
+            new[start] = False
+            left -= 1
+            todo = [start]
+            while todo and left:
+                i = todo.pop(0)
+                found, _ = self.search(vectors[place[i]], int(sizes[place[i]]))
+                found = found[new[found]]
+                new[found] = False
+                left -= len(found)
+                pairs += [(i, j) for j in found.tolist()]
+                todo += found.tolist()
+        return pairs
+
+
+def _streamed(df: DataFrame, keys: list[str], order: list[str], judge: Callable, schema: str) -> DataFrame:
+    """``judge(table)`` of the rows of each value of ``keys``, which one task streams and holds a group at a time."""
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+            change = np.zeros(batch.num_rows, bool)
+            for c in cols:
+                change[1:] |= c[1:] != c[:-1]
+            change[0] = last is not None and tuple(c[0] for c in cols) != last
+            cuts = np.flatnonzero(change).tolist()
+            at = 0
+            for cut in cuts:
+                if cut > at:
+                    held.append(batch.slice(at, cut - at))
+                yield from judge(pa.Table.from_batches(held)).to_batches()
+                held, at = [], cut
+            held.append(batch.slice(at))
+            last = tuple(c[-1] for c in cols)
+        if held:
+            yield from judge(pa.Table.from_batches(held)).to_batches()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def _vectors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    v = np.frombuffer(b"".join(table.column("vector").to_pylist()), np.uint16).reshape(-1, GROUPS)
+    return v, table.column("size").to_numpy()
+
+
+def _pairs(table: pa.Table, pairs: list[tuple[int, int]]) -> pa.Table:
+    sid = table.column("sid").combine_chunks()
+    a, b = (pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1))
+    return pa.table({"a": sid.take(a), "b": sid.take(b)})
+
+
+def _home_pairs(members: DataFrame, ids: DataFrame, t: Threshold) -> DataFrame:
+    """(a, b): a spanning forest of what the R-tree finds in each set's largest region."""
+    counts = members.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    home = members.join(sized(written(counts, "counts"), 24), "digest").groupBy("short").agg(F.sum("n").alias("shares"), F.max(F.struct("n", "digest")).alias("home")).select("short", "shares", F.col("home.digest").alias("region"))
+    placed = written(ids.join(home, "short").select("region", "shares", "sid", "size", "vector"), "home")
+    regions = placed.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("shares", "sid")).alias("hub")).filter("n > 1")
+    regions = written(regions.select("region", F.ceil(F.col("n") / PAGE).cast("int").alias("pages"), "hub.sid").withColumnRenamed("sid", "hub"), "home-regions")
+    paged = placed.join(sized(regions, 48), "region")
+    own = paged.withColumn("page", F.pmod(F.xxhash64("sid"), F.col("pages")).cast("int"))
+    hubs = paged.filter((F.col("sid") == F.col("hub")) & (F.col("pages") > 1)).withColumn("page", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
+    hubs = hubs.filter(F.col("page") != F.pmod(F.xxhash64("sid"), F.col("pages")))
+    columns = ["region", "page", "shares", "sid", "size", "vector"]
+
+    def judge(table):
+        v, s = _vectors(table)
+        tree = CountVectorTree(v, s, t)
+        return _pairs(table, tree.forest(np.argsort(-table.column("shares").to_numpy(), kind="stable")) if len(s) > 1 else [])
+
+    return _streamed(own.select(columns).unionByName(hubs.select(columns)), ["region", "page"], ["sid"], judge, "a binary, b binary")
+
+
+def _between(members: DataFrame, ids: DataFrame, near: DataFrame, t: Threshold, best: bool) -> DataFrame:
+    """(digest, a, b): pairs between components that the R-tree finds in regions that hold several; ``best``: of a set and a component one."""
+    labels = ids.select("short", "sid").join(sized(near, 48), F.col("sid") == F.col("node"), "left").select("short", "sid", F.coalesce("component", "sid").alias("component"))
+    placed = written(members.join(sized(written(labels, "component-ids"), 56), "short").select("digest", "sid", "component"), "placed")
+    held = placed.groupBy("digest", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n")).filter("top.n < n")
+    open_regions = written(held.select("digest", F.col("top.component").alias("top"), F.ceil(F.col("n") / PAGE).cast("int").alias("pages"), F.ceil((F.col("n") - F.col("top.n")) / PAGE).cast("int").alias("ask_pages")), "open")
+    rows = written(placed.join(sized(open_regions, 48), "digest"), "open-members").join(ids.select("sid", "size", "vector"), "sid")
+    page, ask_page = (F.pmod(F.xxhash64("sid"), F.col(c)).cast("int") for c in ("pages", "ask_pages"))
+    columns = ["digest", "page", "ask_page", "asks", "sid", "component", "size", "vector"]
+    kept = rows.withColumn("asks", F.lit(0)).withColumn("page", page).withColumn("ask_page", F.explode(F.sequence(F.lit(0), F.col("ask_pages") - 1)))
+    asking = rows.filter(F.col("component") != F.col("top")).withColumn("asks", F.lit(1)).withColumn("ask_page", ask_page).withColumn("page", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
+
+    def judge(table):
+        v, s = _vectors(table)
+        asks = table.column("asks").to_numpy() == 1
+        held, comp = np.flatnonzero(~asks), table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+        pairs = []
+        if len(held):
+            tree = CountVectorTree(v[held], s[held], t)
+            for i in np.flatnonzero(asks).tolist():
+                found, over = tree.search(v[i], int(s[i]))
+                found = held[found]
+                other = comp[found] != comp[i]
+                found, over = found[other], over[other]
+                if best and len(found):
+                    found = found[np.lexsort((found, -over))]
+                    found = found[np.unique(comp[found], return_index=True)[1]]
+                pairs += [(i, j) for j in found.tolist()]
+        digest = table.column("digest")[0].as_py()
+        return _pairs(table, pairs).append_column("digest", pa.array([digest] * len(pairs), pa.int64()))
+
+    found = _streamed(kept.select(columns).unionByName(asking.select(columns)), ["digest", "page", "ask_page"], ["asks", "sid"], judge, "a binary, b binary, digest long")
+    return written(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "digest"), "between")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
-    """The (a, b) of ``pairs`` (region, a, b), a written table, that link.
+    """The (a, b) of ``pairs``, a written table, that link.
 
-    Sets are large next to pairs, so a set is sent once for each task that has pairs of it, not once for each pair. A task holds the
-    pairs between two pages of a region or all those of some small regions.
+    A hub's set is followed by those compared to it; a task streams them and holds two. Hubs of many pairs are spread over tasks.
     """
+    hubs = written(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TASK_SETS).cast("int").alias("parts")), "hubs")
+    others = pairs.join(sized(hubs, 32), "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    others = others.join(sets, others["b"] == sets["sid"]).select("a", "part", F.lit(1).alias("kind"), "sid", "hashes")
+    first = hubs.join(sets, hubs["a"] == sets["sid"]).select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "sid", "hashes")
 
-    def ends(df, *keys):
-        return df.select(*keys, F.col("a").alias("sid")).unionByName(df.select(*keys, F.col("b").alias("sid"))).distinct()
-
-    pages = written(ends(pairs, "region").groupBy("region").agg(F.count(F.lit(1)).alias("n")), "pages")
-    tasks = (pages.agg(F.sum("n")).first()[0] or 0) // TASK_SETS + 1
-
-    def page(c):
-        return F.pmod(F.xxhash64(c), F.ceil(F.col("n") / TASK_SETS)).cast("int")
-
-    region = F.when(F.col("n") <= TASK_SETS, F.pmod(F.xxhash64("region"), F.lit(tasks))).otherwise(F.col("region"))
-    dealt = pairs.join(sized(pages, 24), "region").select(region.alias("region"), F.least(page("a"), page("b")).alias("low"), F.greatest(page("a"), page("b")).alias("high"), "a", "b")
-    dealt = written(dealt, "dealt")
-
-    def verify(part, held):
-        of = {i: np.frombuffer(h, np.uint64) for i, h in zip(held.column("sid").to_pylist(), held.column("hashes").to_pylist(), strict=True)}
-        both = zip(part.column("a").to_pylist(), part.column("b").to_pylist(), strict=True)
-        linked = [t.linked(len(np.intersect1d(of[a], of[b], assume_unique=True)), len(of[a]), len(of[b])) for a, b in both]
-        return part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    held = ends(dealt.select(F.col("region").alias("r"), F.col("low").alias("l"), F.col("high").alias("h"), "a", "b"), "r", "l", "h").join(sets, "sid")
-    return dealt.groupBy("region", "low", "high").cogroup(held.groupBy("r", "l", "h")).applyInArrow(verify, "a long, b long")
-
-
-def _bounded(pairs: DataFrame, distinct: DataFrame, t: Threshold) -> DataFrame:
-    """Those of ``pairs`` (a, b, shared) that the sum of coordinate minima lets through."""
-
-    def bound(batches):
+    def verify(batches):
+        hub = b""
         for batch in batches:
-            if batch.num_rows:
-                v, w = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("v", "w"))
-                total = batch.column("s").to_numpy() + batch.column("r").to_numpy()
-                low = np.minimum(v, w).astype(np.int64).sum(axis=1)
-                full = (v == 65535).any(axis=1) | (w == 65535).any(axis=1)  # counts that did not fit bound nothing
-                yield batch.select(["a", "b", "shared"]).filter(pa.array((low >= t.needed(total)) | full))
-
-    x = distinct.select(F.col("sid").alias("a"), F.col("size").alias("s"), F.col("vector").alias("v"))
-    y = distinct.select(F.col("sid").alias("b"), F.col("size").alias("r"), F.col("vector").alias("w"))
-    return pairs.join(y, "b").join(x, "a").select("a", "b", "shared", "s", "r", "v", "w").mapInArrow(bound, "a long, b long, shared long")
-
-
-def _regions(pairs: DataFrame) -> DataFrame:
-    """(region, a, b): pairs that share a set are in one region."""
-    of = connected_components(pairs).select(F.col("node").alias("a"), F.col("component").alias("region"))
-    return written(pairs.join(sized(of, 32), "a").select("region", "a", "b"), "regions")
-
-
-def _apart(pairs: DataFrame, near: DataFrame) -> DataFrame:
-    """Those of ``pairs`` whose sets are in different components."""
-    of_a = sized(near.select(F.col("node").alias("a"), F.col("component").alias("p")), 32)
-    of_b = sized(near.select(F.col("node").alias("b"), F.col("component").alias("q")), 32)
-    return pairs.join(of_a, "a", "left").join(of_b, "b", "left").filter(F.coalesce("p", "a") != F.coalesce("q", "b")).select("a", "b")
-
-
-def _tree_pairs(members: DataFrame, t: Threshold) -> DataFrame:
-    """Pairs of different components in the blocks of ``members`` (digest, sid, component, size, vector) that the R-tree finds."""
-    counts = members.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
-    paged = members.join(counts, "digest").withColumn("pages", F.ceil(F.col("n") / PAGE).cast("int")).withColumn("page", F.pmod(F.xxhash64("sid"), F.col("pages")).cast("int"))
-    # each pair of pages is a task: a page goes to those it is the lower of and those it is the higher of
-    lower = F.transform(F.sequence(F.col("page"), F.col("pages") - 1), lambda p: F.struct(F.col("page").alias("low"), p.cast("int").alias("high")))
-    higher = F.when(F.col("page") > 0, F.transform(F.sequence(F.lit(0), F.col("page") - 1), lambda p: F.struct(p.cast("int").alias("low"), F.col("page").alias("high")))).otherwise(F.array().cast("array<struct<low:int,high:int>>"))
-    dealt = paged.withColumn("task", F.explode(F.concat(lower, higher))).select("digest", "task.low", "task.high", "page", "sid", "component", "size", "vector")
-
-    def join(keys, table):
-        low = keys[1].as_py()
-        sid, comp, size, pages = (table.column(c).to_numpy() for c in ("sid", "component", "size", "page"))
-        v = np.frombuffer(b"".join(table.column("vector").to_pylist()), np.uint16).reshape(-1, GROUPS).astype(np.int64)
-        v[v == 65535] = 1 << 40
-        held, asks = np.flatnonzero(pages == low), np.flatnonzero(pages == keys[2].as_py())
-        tree = CountVectorTree(v[held], size[held], t)
-        a, b = [], []
-        for i in asks.tolist():
-            found = held[tree.search(v[i], int(size[i]))]
-            found = found[(comp[found] != comp[i]) & (sid[found] != sid[i])]
-            a.append(np.minimum(sid[found], sid[i]))
-            b.append(np.maximum(sid[found], sid[i]))
-        return pa.table({"a": np.concatenate([*a, np.zeros(0, np.int64)]), "b": np.concatenate([*b, np.zeros(0, np.int64)])})
-
-    return dealt.groupBy("digest", "low", "high").applyInArrow(join, "a long, b long").distinct()
-
-
-def components(docs: DataFrame, n: int, t: Threshold) -> DataFrame:
-    """did, size, sid and label of each document: rows share a label if links or copies connect them."""
-    rows = written(points(docs, n), "points")
-    keyed = docs.select(doc_key().alias("did"), "text")
-    first = rows.filter("sid is not null").groupBy("sid").agg(F.min("did").alias("did"))
-    leaders = written(first.select("did").distinct(), "leaders")
-    sig = routed(keyed.join(sized(leaders, 24), "did", "left_semi"), n, t)
-    members = written(blocks_of(sig), "members")
-    pairs = written(members.filter("sid <> pivot").groupBy(F.col("pivot").alias("a"), F.col("sid").alias("b")).agg(F.count(F.lit(1)).alias("shared")), "pairs")
-    inside = members.select("sid").distinct()
-    chosen = written(first.join(sized(written(inside, "inside"), 24), "sid"), "chosen")
-    distinct = written(rows.join(sized(chosen, 32), ["sid", "did"]).select("sid", "size", "vector").dropDuplicates(["sid"]), "distinct")
-    sets = written(sets_of(keyed, chosen, n).join(sized(chosen.select("sid"), 24), "sid"), "sets")
+            a, b = [], []
+            for x, kind, sid, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "kind", "sid", "hashes")), strict=True):
+                own = np.frombuffer(raw, np.uint64)
+                if not kind:
+                    hub = own
+                elif t.linked(len(np.intersect1d(hub, own, assume_unique=True)), len(hub), len(own)):
+                    a.append(x)
+                    b.append(sid)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return first.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", "kind").mapInArrow(verify, "a binary, b binary")
+
+
+def components(docs: DataFrame, n: int, t: Threshold, keys: list[str]) -> DataFrame:
+    """``keys``, size and label of each document of ``docs`` (did, text and keys): rows share a label if links or copies connect them."""
+    rows = written(points(docs, n, keys), "points")
+    members = written(regions(routed(docs, n, t)), "members")
+    first = rows.filter("sid is not null").groupBy("sid").agg(F.min("did").alias("did")).withColumn("short", short_id("sid"))
+    alike = first.groupBy("short").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("short")  # different sets, equal 64 bits: a region of its own
+    members = members.unionByName(written(alike.select(F.col("short").alias("digest"), "short"), "alike"))
+    inside = written(members.select("short").distinct(), "inside")
+    chosen = written(first.join(sized(inside, 24), "short"), "chosen")
+    ids = written(rows.join(sized(chosen.select("sid", "did", "short"), 48), ["sid", "did"]).select("short", "sid", "size", "vector").dropDuplicates(["sid"]), "ids")
+    sets = written(sets_of(docs, chosen, n).join(sized(chosen.select("sid"), 32), "sid", "left_semi"), "sets")
     if sets.count() > chosen.count():  # repeated rows
         sets = written(sets.dropDuplicates(["sid"]), "sets")
-    likely = written(_bounded(pairs, distinct, t), "likely")
-    # the pivot that shares most digests with a set connects most of a block; other pairs then count between components only
-    best = written(likely.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select(F.col("a").alias("region"), "a", "b"), "best")
-    links = written(_verified(best, sets, t), "links")
-    near = written(connected_components(links), "components")
-    apart = written(_apart(likely.select("a", "b"), near).join(best, ["a", "b"], "left_anti"), "apart")
-    if not apart.isEmpty():
-        links = written(links.unionByName(_verified(_regions(apart), sets, t)), "links")
-        near = written(connected_components(links), "components")
-    placed = members.join(sized(near, 32), members["sid"] == near["node"], "left").select("digest", "sid", F.coalesce("component", "sid").alias("component"))
-    open_blocks = placed.groupBy("digest").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("digest")
-    rest = placed.join(sized(written(open_blocks, "open-blocks"), 24), "digest").join(distinct, "sid").select("digest", "sid", "component", "size", "vector")
-    more = written(_tree_pairs(rest, t).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "tree-pairs")
-    if not more.isEmpty():
-        links = written(links.unionByName(_verified(_regions(more), sets, t)), "links")
-        near = written(connected_components(links), "components")
+    tried = written(_home_pairs(members, ids, t).distinct(), "home-pairs")
+    links = written(_verified(tried, sets, t), "links")
+    near = connected_components(links)
+    some = _between(members, ids, near, t, best=True)
+    if not some.isEmpty():
+        best = written(some.select("a", "b").distinct().join(tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti"), "best-pairs")
+        links = written(links.unionByName(_verified(best, sets, t)), "links")
+        near = connected_components(links)
+        again = members.join(sized(written(some.select("digest").distinct(), "again"), 16), "digest")
+        rest = _between(again, ids, near, t, best=False).select("a", "b").distinct()
+        both = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).unionByName(best)
+        rest = written(rest.join(both, ["a", "b"], "left_anti"), "rest-pairs")
+        if not rest.isEmpty():
+            links = written(links.unionByName(_verified(rest, sets, t)), "links")
+            near = connected_components(links)
+    discard(ids, sets)
     labels = near.select(F.col("node").alias("sid"), "component")
-    return rows.join(sized(labels, 32), "sid", "left").select("did", "size", "sid", F.coalesce("component", "sid").alias("label"))
+    return rows.join(sized(labels, 48), "sid", "left").select(*keys, "size", F.coalesce("component", "sid").alias("label"))
 
 
 def clusters(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """did, size and root (smallest did reachable by links) of each document."""
-    found = written(components(docs, n, Threshold(num, den)), "clusters")
+    """did, size and root (smallest did reachable by links) of each document of ``docs`` (did, text)."""
+    found = written(components(docs, n, Threshold(num, den), ["did"]), "clusters")
     roots = found.filter("label is not null").groupBy("label").agg(F.min("did").alias("root"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("label", "root")
     return found.join(sized(written(roots, "roots"), 32), "label", "left").select("did", "size", F.coalesce("root", "did").alias("root"))
 
 
 def dedup(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one document of each group: that of the smallest doc_id; documents without words all stay."""
-    gone = written(clusters(docs, n, num, den).filter("did <> root").select("did").distinct(), "gone")
-    return docs.withColumn("did", doc_key()).join(sized(gone, 24), "did", "left_anti").select(docs.columns)
+    """``docs`` with one row of each group: that of the smallest doc_id, of its rows any one text; rows without words all stay."""
+    uid, text = free_names(docs, "uid")[0], named(docs, "text")
+    own = docs.select(doc_key(named(docs, "doc_id")).alias("did"), row_key(named(docs, "doc_id"), text).alias("uid"), F.col(text).alias("text"))
+    found = written(components(own, n, Threshold(num, den), ["did", "uid"]).filter("label is not null"), "groups")
+    several = found.groupBy("label").agg(F.min(F.struct("did", "uid")).alias("root"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    in_groups = written(found.join(sized(written(several, "several"), 64), "label").select("uid", (F.col("uid") == F.col("root.uid")).alias("stays")), "in-groups")
+    gone = written(in_groups.filter(~F.col("stays")).select(F.col("uid").alias(uid)).distinct(), "gone")
+    left = docs.withColumn(uid, row_key(named(docs, "doc_id"), text)).join(sized(gone, 24), uid, "left_anti")
+    twice = written(in_groups.filter("stays").groupBy("uid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("uid").alias(uid)), "twice")
+    if not twice.isEmpty():  # rows of equal doc_id and text: one stays
+        left = left.join(sized(twice, 24), uid, "left_anti").unionByName(left.join(sized(twice, 24), uid, "left_semi").dropDuplicates([uid]))
+    return left.select(docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """The contract of op8."""
-    found = clusters(docs.select("doc_id", "text"), 3, 90, 100)
+    found = clusters(docs.select(doc_key().alias("did"), "text"), 3, 90, 100)
     return found.select(from_key("did").alias("doc_id"), F.col("size").alias("n_shingles"), from_key("root").alias("component_id"))

@@ -381,7 +381,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
         if held:
             yield _span_rows([held])
 
-    runs = covered.repartition("uid").sortWithinPartitions("uid", "a").mapInArrow(merge, "uid binary, a int, b int")
+    runs = covered.distinct().repartition("uid").sortWithinPartitions("uid", "a").mapInArrow(merge, "uid binary, a int, b int")
     spans = written(runs.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")), "spans")
     discard(found, verdicts)
     return spans

@@ -40,3 +40,63 @@ def test_suffix_spans_of_overlapping_passages(spark, seed):
         for s in found.get(i, ()):
             mark[s["a"] : s["b"]] = b"\1" * (s["b"] - s["a"])
         assert bytes(mark) == want, i
+
+
+def shingled(text, n):
+    w = text.lower().split()
+    return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def brute_roots(texts, n, num):
+    sets = [shingled(t, n) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= num * (len(a) + len(sets[j]) - both):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return [find(i) for i in range(len(texts))]
+
+
+def edited_texts(rnd):
+    """Chains of edits about the threshold, short and long texts, and a passage that most share."""
+    vocabulary = [f"v{i}" for i in range(3000)]
+    passage = rnd.choices(vocabulary, k=25)
+    out = []
+    for size in (6, 9, 14, 20, 30, 45, 70, 110, 200):
+        base = rnd.choices(vocabulary, k=size)
+        now = base
+        for i in range(14):
+            now = list(now if i % 3 else base)
+            for _ in range(rnd.randrange(1, 2 + size // 40)):
+                now[rnd.randrange(len(now))] = rnd.choice(vocabulary)
+            out.append(" ".join(now))
+        for _ in range(8):
+            out.append(" ".join([*rnd.choices(vocabulary, k=size // 2), *passage]))
+    return out
+
+
+@pytest.mark.parametrize("n,num,page", [(3, 90, 512), (5, 80, 8), (2, 70, 4)])
+def test_jaccard_pages_and_chains(spark, monkeypatch, n, num, page):
+    monkeypatch.setattr(jaccardjoin, "PAGE", page)
+    monkeypatch.setattr(jaccardjoin, "TASK_SETS", 3)
+    texts = edited_texts(random.Random(n))
+    docs = spark.createDataFrame(list(enumerate(texts)), "did long, text string").repartition(3)
+    found = {r.did: r.root for r in jaccardjoin.clusters(docs, n, num, 100).collect()}
+    assert [found[i] for i in range(len(texts))] == brute_roots(texts, n, num)
+
+
+def test_jaccard_dedup_by_row(spark):
+    same, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"z{i}" for i in range(40))
+    rows = [(1, same, 5, "a"), (2, same + " end", 6, "b"), (2, other, 7, "c"), (3, None, 8, "d"), (3, None, 8, "d"), (None, "x y", 1, "e"), (9, "tie once", 1, "f"), (9, "tie once", 1, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Did int, UID string")
+    kept = jaccardjoin.dedup(docs)
+    assert kept.columns == docs.columns
+    assert Counter(map(tuple, kept.collect())) == Counter([rows[0], *rows[2:7]])
