@@ -97,3 +97,10 @@ def replaced_text(df: DataFrame, extra: str, cut: Callable[[bytes, object], byte
             yield batch.select(schema.names)
 
     return df.mapInArrow(run, schema)
+
+
+def shielded(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but those ``needed`` renamed out of the way, and a function that selects and names them as they were."""
+    names = {c: c.lower() if c.lower() in needed else f"passes {i}" for i, c in enumerate(df.columns)}
+    inner = df.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    return inner, lambda out: out.select(*(F.col(f"`{n}`").alias(c) for c, n in names.items()))

@@ -3,86 +3,91 @@
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z, so ASCII letters, digits and everything
 beyond ASCII. A window is ``n`` consecutive words of an item; a shorter item is one window of its own length.
 
-The set goes to the executors only while its size is within ``MAX_WINDOWS`` (about 64 bytes each); a larger
-benchmark is scanned in several passes of such sets, so memory stays bounded at any benchmark size. A hash hit
-counts only after the words themselves compare equal.
+The set holds each item's words once and 16 bytes for each window: its hash, item and place. It goes to the executors only while
+it is within ``MAX_BYTES``; a larger benchmark is scanned in several passes of such sets, so memory stays bounded at any
+benchmark size (a single larger item is a pass of its own). A hash hit counts only after the words themselves compare equal.
 
 Defined results: null or empty text has no words and is clean; items without words hold no window; repeated
-items each count; extra columns of ``docs`` pass through; a document is judged by itself, so repeated rows
-get equal results.
+items each count; extra columns of ``docs`` pass, and ours get an underscore where a name is taken; a document is judged by
+itself, so repeated rows get equal results. Cutting spans out leaves null texts null and clean texts as they are.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from factloom.llm.textscan import blocks, bytes_and_offsets, lower_table, prefix_sums, span_hashes, window_hashes, word_spans
+from factloom.llm.common import free_names, named, replaced_text
+from factloom.llm.shingles import WordHashes
+from factloom.llm.textscan import BLOCK_BYTES, lower_table, window_hashes
 
 WORD_BYTES = lower_table(lambda b: b >= 128 or 48 <= b <= 57 or 97 <= b <= 122)
-_TABLE = np.frombuffer(WORD_BYTES, np.uint8)
-MAX_WINDOWS = 2_000_000
-HITS = "n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>"
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+#: Bytes of one pass's set: item words and WINDOW_BYTES for each window.
+MAX_BYTES, WINDOW_BYTES = 64 << 20, 16
+NAMES = ("n_words", "n_hit", "item_ids", "spans")
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(WORD_BYTES).split()
+def words_of(text: bytes | None) -> list[bytes]:
+    return (text or b"").translate(WORD_BYTES).split()
 
 
 class WindowSet:
-    """Windows of benchmark items by length: sorted hashes for the scan, words and item ids for the proof."""
-
-    def __init__(self, items: list[tuple[object, str | None]], n: int):
-        found: dict[int, dict[tuple[bytes, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
-        for item_id, text in items:
-            words = words_of(text)
+    """Windows of benchmark items by length: sorted hashes with their item and place; the items' words for the proof."""
+
+    def __init__(self, items: list[tuple[str, bytes]], n: int):
+        self.ids = [i for i, _ in items]
+        self.texts = [b" ".join(words_of(t)) for _, t in items]
+        known, parts = WordHashes(), defaultdict(list)
+        for k, text in enumerate(self.texts):
+            words = text.split()
             size = min(n, len(words))
-            for i in range(len(words) - size + 1 if words else 0):
-                found[size][tuple(words[i : i + size])].add(str(item_id))
+            if words:
+                h = window_hashes(known.of(words), size)
+                parts[size].append((h, np.full(len(h), k, np.int32), np.arange(len(h), dtype=np.int32)))
         self.by_size = {}
-        for size, windows in found.items():
-            by_hash = defaultdict(list)
-            for (words, ids), h in zip(windows.items(), _hashes(list(windows), size), strict=True):
-                by_hash[int(h)].append((words, sorted(ids)))
-            hashes = np.array(sorted(by_hash), np.uint64)
+        for size, own in parts.items():
+            h, item, place = (np.concatenate(x) for x in zip(*own, strict=True))
+            order = np.argsort(h, kind="stable")
             # one bit for each value of the low 16 bits rejects nearly all windows before the binary search
             seen = np.zeros(1 << 16, bool)
-            seen[(hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
-            self.by_size[size] = (hashes, seen, dict(by_hash))
-
-    def scan(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, list, list, np.ndarray, np.ndarray]]:
-        """(row, words, word ranges hit, item ids, word starts, word ends) of each text."""
-        text = _TABLE[data]
-        starts, ends, first = word_spans(text != 32, offsets)
-        sums = prefix_sums(text, 10)
-        words = span_hashes(sums, starts, ends)
-        row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-        hits: dict[int, list] = defaultdict(list)
-        for size, (known, seen, by_hash) in self.by_size.items():
-            h = window_hashes(words, size)
-            at = np.flatnonzero(seen[(h & np.uint64(0xFFFF)).astype(np.int64)])
-            at = at[row_of[at] == row_of[at + size - 1]]
-            place = np.searchsorted(known, h[at])
-            at = at[(place < len(known)) & (known[np.minimum(place, len(known) - 1)] == h[at])]
-            for i in at.tolist():
-                got = tuple(text[starts[i] : ends[i + size - 1]].tobytes().split())
-                for window, ids in by_hash[int(h[i])]:
-                    if window == got:
-                        hits[int(row_of[i])].append((i, i + size, ids))
-        for row in range(len(offsets) - 1):
-            own = hits.get(row, ())
-            yield row, int(first[row + 1] - first[row]), [x[:2] for x in own], sorted({y for x in own for y in x[2]}), starts, ends
-
-
-def _hashes(windows: list[tuple[bytes, ...]], size: int) -> np.ndarray:
-    data = np.frombuffer(b" ".join(w for x in windows for w in x) + b" ", np.uint8)
-    starts, ends, _ = word_spans(data != 32, np.array([0, len(data)]))
-    return window_hashes(span_hashes(prefix_sums(data, 10), starts, ends), size)[::size]
+            seen[(h & np.uint64(0xFFFF)).astype(np.int64)] = True
+            self.by_size[size] = (h[order], item[order], place[order], seen)
+
+    def finder(self):
+        """A function from the words of a block of texts to the hits (row, word range, item ids)."""
+        known = WordHashes()
+        item_words = lru_cache(4096)(lambda k: self.texts[k].split())
+
+        def find(texts: list[list[bytes]]) -> dict[int, list]:
+            words = [w for t in texts for w in t]
+            counts = np.array([len(t) for t in texts])
+            row_of = np.repeat(np.arange(len(texts)), counts)
+            first = np.concatenate([[0], np.cumsum(counts)])
+            own, hits = known.of(words), defaultdict(list)
+            for size, (hashes, item, place, seen) in self.by_size.items():
+                h = window_hashes(own, size)
+                at = np.flatnonzero(seen[(h & np.uint64(0xFFFF)).astype(np.int64)])
+                at = at[row_of[at] == row_of[at + size - 1]]
+                low, high = np.searchsorted(hashes, h[at]), np.searchsorted(hashes, h[at], "right")
+                for i, a, b in zip(at.tolist(), low.tolist(), high.tolist(), strict=True):
+                    got = words[i : i + size]
+                    ids = {self.ids[k] for k, p in zip(item[a:b].tolist(), place[a:b].tolist(), strict=True) if item_words(k)[p : p + size] == got}
+                    if ids:
+                        row = int(row_of[i])
+                        hits[row].append((i - int(first[row]), i - int(first[row]) + size, ids))
+            return hits
+
+        return find
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -95,82 +100,88 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _passes(benchmark: DataFrame, n: int, item_id: str, text: str) -> Iterator[list]:
-    """Items in runs of at most MAX_WINDOWS windows, fetched one run at a time."""
-    own: list = []
+def _passes(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str, bytes]]]:
+    """Items in runs of at most MAX_BYTES, fetched one run at a time."""
+    own: list[tuple[str, bytes]] = []
     total = 0
-    for row in benchmark.select(F.col(item_id), F.col(text)).toLocalIterator():
-        size = max(1, len(words_of(row[1])) - n + 1)
-        if own and total + size > MAX_WINDOWS:
+    for row in benchmark.select(F.col(item_id).cast("string"), F.col(text)).toLocalIterator():
+        raw = (row[1] or "").encode()
+        size = len(raw) + WINDOW_BYTES * len(words_of(raw))
+        if own and total + size > MAX_BYTES:
             yield own
             own, total = [], 0
-        own.append((row[0], row[1]))
+        own.append((str(row[0]), raw))
         total += size
     yield own
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, item_id: str = "item_id") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, item_id: str = "item_id", names: tuple[str, ...] | list[str] | None = None) -> DataFrame:
     """``docs`` with n_words, n_hit, item_ids (sorted as strings) and spans (UTF-8 byte ranges that were hit)."""
-    runs = _passes(benchmark, n, item_id, "text")
-    out = _scan(docs, next(runs), n)
-    for more in runs:  # a benchmark beyond one set: hits of later sets are joined to those of earlier ones
-        out = _scan(out, more, n)
+    names = list(names or free_names(docs, *NAMES))
+    out = docs
+    for k, items in enumerate(_passes(benchmark, item_id, "text")):
+        out = _scan(out, items, n, names, again=k > 0)
     return out
 
 
-def _scan(docs: DataFrame, items: list, n: int) -> DataFrame:
-    spark = docs.sparkSession
-    windows = spark.sparkContext.broadcast(WindowSet(items, n))
-    again = {"n_words", "n_hit", "item_ids", "spans"} <= set(docs.columns)
-    kept = [c for c in docs.columns if c.lower() not in ("n_words", "n_hit", "item_ids", "spans")]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept] + [HITS])
+def _scan(docs: DataFrame, items: list, n: int, names: list[str], again: bool) -> DataFrame:
+    """One pass; hits of later passes are joined to those of earlier ones."""
+    windows = docs.sparkSession.sparkContext.broadcast(WindowSet(items, n))
+    text = named(docs, "text")
+    kept = [f for f in docs.schema.fields if f.name not in names]
+    schema = StructType(kept + StructType.fromDDL(f"`{names[0]}` long, `{names[1]}` long, `{names[2]}` array<string>, `{names[3]}` array<struct<start:int,end:int>>").fields)
 
     def scan(batches):
+        find = windows.value.finder()
         for batch in batches:
-            data, offsets = bytes_and_offsets(batch.column("text"))
-            old = batch.select(["item_ids", "spans"]).to_pylist() if again else None
+            raw = batch.column(text).cast(pa.binary()).to_pylist()
+            old = batch.select(names[2:]).to_pylist() if again else None
             n_words, n_hit, ids, spans = [], [], [], []
-            for first, _, part, own in blocks(data, offsets):
-                for row, count, ranges, item_ids, starts, ends in windows.value.scan(part, own):
-                    found = [(int(starts[a] - own[row]), int(ends[b - 1] - own[row])) for a, b in merged(ranges)]
-                    if again:
-                        found = merged(found + [(x["start"], x["end"]) for x in old[first + row]["spans"]])
-                        item_ids = sorted({*item_ids, *old[first + row]["item_ids"]})
-                        text = part[own[row] : own[row + 1]].tobytes()
-                        hit = sum(len(text[a:b].translate(WORD_BYTES).split()) for a, b in found)
-                    else:
-                        hit = sum(b - a for a, b in merged(ranges))
-                    n_words.append(count)
-                    n_hit.append(hit)
-                    ids.append(item_ids)
+            at = 0
+            while at < len(raw):
+                block, size = [], 0
+                while at + len(block) < len(raw) and (not block or size < BLOCK_BYTES):
+                    block.append(words_of(raw[at + len(block)]))
+                    size += len(raw[at + len(block) - 1] or b"")
+                hits = find(block)
+                for row, words in enumerate(block):
+                    own = hits.get(row, ())
+                    found, item_ids = [], {i for x in own for i in x[2]}
+                    if own:
+                        places = [m.span() for m in _WORD.finditer(raw[at + row])]
+                        found = [(places[a][0], places[b - 1][1]) for a, b in merged([x[:2] for x in own])]
+                    if again and old[at + row][names[3]]:
+                        found = merged(found + [(x["start"], x["end"]) for x in old[at + row][names[3]]])
+                        item_ids |= set(old[at + row][names[2]])
+                    n_words.append(len(words))
+                    n_hit.append(sum(len(words_of(raw[at + row][a:b])) for a, b in found))
+                    ids.append(sorted(item_ids))
                     spans.append([{"start": a, "end": b} for a, b in found])
-            arrays = [batch.column(c) for c in kept] + [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(ids, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
-            yield pa.RecordBatch.from_arrays(arrays, [*kept, "n_words", "n_hit", "item_ids", "spans"])
+                at += len(block)
+            arrays = [batch.column(f.name) for f in kept] + [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(ids, pa.list_(pa.string())), pa.array(spans, SPANS)]
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     return docs.mapInArrow(scan, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, remove: str = "documents") -> DataFrame:
     """``docs`` without contaminated documents, or (remove="spans") with the hit spans cut out of their texts."""
-    columns = docs.columns
-    marked = contamination(docs, benchmark, n)
+    names = free_names(docs, *NAMES)
+    marked = contamination(docs, benchmark, n, names=names)
     if remove == "documents":
-        return marked.filter(F.col("n_hit") == 0).select(columns)
+        return marked.filter(F.col(names[1]) == 0).select(*(F.col(f"`{c}`") for c in docs.columns))
 
-    @F.udf("string")  # only rows with hits reach it
-    def cut(text, spans):
-        raw, out, at = text.encode(), [], 0
+    def cut(text: bytes, spans: list) -> bytes:
+        out, at = [], 0
         for s in spans:
-            out.append(raw[at : s["start"]])
+            out.append(text[at : s["start"]])
             at = s["end"]
-        return b"".join([*out, raw[at:]]).decode()
+        return b"".join([*out, text[at:]])
 
-    return marked.withColumn("text", F.when(F.col("n_hit") == 0, F.col("text")).otherwise(cut("text", "spans"))).select(columns)
+    return replaced_text(marked.select(*(F.col(f"`{c}`") for c in docs.columns), names[3]), names[3], cut)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The contract of op10: one row per document with counts and a digest of the items found."""
     found = contamination(docs.select("doc_id", "text"), benchmark).drop("text")
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
-
-

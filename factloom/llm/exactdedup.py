@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import SPACE_CLASS, doc_key, from_key, sized, written
+from factloom.llm.common import SPACE_CLASS, doc_key, from_key, shielded, sized, written
 
 MAX_BUCKETS = 1 << 14
 MAX_DEPTH = 24
@@ -183,10 +183,11 @@ def duplicates(docs: DataFrame, capacity: int = 4096, key_bits: int = 64) -> Dat
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text a row with a smaller doc_id holds."""
-    dropped = written(duplicates(docs).filter("did <> keep").select("did", "sha"), "dropped")
-    marked = docs.withColumn("_did", doc_key()).withColumn("_sha", F.unhex(F.sha2(normalised(), 256)))
+    inner, restore = shielded(docs, "doc_id", "text")
+    dropped = written(duplicates(inner).filter("did <> keep").select("did", "sha"), "dropped")
+    marked = inner.withColumn("_did", doc_key()).withColumn("_sha", F.unhex(F.sha2(normalised(), 256)))
     gone = sized(dropped, 80)
-    return marked.join(gone, (F.col("_did") == gone["did"]) & (F.col("_sha") == gone["sha"]), "left_anti").drop("_did", "_sha")
+    return restore(marked.join(gone, (F.col("_did") == gone["did"]) & (F.col("_sha") == gone["sha"]), "left_anti"))
 
 
 def digest(docs: DataFrame) -> DataFrame:

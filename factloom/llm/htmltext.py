@@ -21,6 +21,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
+
+from factloom.llm.common import named
 
 #: Elements that start and end a block.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -267,10 +270,10 @@ LABELLED = """
 11 0.0 120 6 0 1 0 1 0 0 0
 14 1.0 40 50 0 0 1 0 0 1 1
 30 0.8 60 40 0 0 1 0 0 1 1
-25 0.6 9 12 0 1 1 0 0 1 1
-11 1.0 30 12 0 1 1 0 0 1 1
-12 1.0 11 10 1 1 1 0 0 1 1
-50 0.9 12 0 1 0 1 0 0 1 1
+25 0.6 9 12 0 1 1 0 0 1 0
+11 1.0 30 12 0 1 1 0 0 1 0
+12 1.0 11 10 1 1 1 0 0 1 0
+50 0.9 12 0 1 0 1 0 0 1 0
 14 1.0 11 13 1 1 1 1 0 1 0
 """
 
@@ -278,7 +281,7 @@ LABELLED = """
 #: Pages without article or main judged by hand, a page in a line, a block in a word: its words, "/" and the percent of them in
 #: links if any, h for a heading, then + for main text or - for none. Neighbours are the blocks beside it. In a container that
 #: may hold main text by its name a block is judged alike, in article or main or not; a block in article or main and in no
-#: such container is main text, one in a container of boiler plate, or beside article or main, is none, whatever it holds.
+#: such container is main text unless it is one of a list of links, one in a container of boiler plate, or beside article or main, is none, whatever it holds.
 LABELLED_PAGES = """
 1/100- 1/100- 2/100- 8h+ 25+ 30+ 2/100- 3/100- 5-
 8h+ 25+ 30+
@@ -354,7 +357,8 @@ def page_rows(line: str) -> list[list[float]]:
     out = []
     for i, m in enumerate(found, 1):
         own, heading, says = (words[i], links[i], words[i - 1], words[i + 1], links[i - 1], links[i + 1]), float(m[3] == "h"), float(m[4] == "+")
-        for main, boiler, has_main, label in ((0, NONE, 0, says), (0, WEAK, 0, says), (1, WEAK, 1, says), (1, NONE, 1, 1), (0, NONE, 1, 0), (0, WEAK, 1, 0), (0, STRONG, 0, 0), (1, STRONG, 1, 0)):
+        listed = links[i] >= 0.5 and max(links[i - 1], links[i + 1]) >= 0.5  # a list of links is a menu, in an article too
+        for main, boiler, has_main, label in ((0, NONE, 0, says), (0, WEAK, 0, says), (1, WEAK, 1, says), (1, NONE, 1, float(not listed)), (0, NONE, 1, 0), (0, WEAK, 1, 0), (0, STRONG, 0, 0), (1, STRONG, 1, 0)):
             out.append([*own, main, boiler, heading, has_main, label])
     return out
 
@@ -409,13 +413,14 @@ def extract_text(pages: DataFrame, tree=None) -> DataFrame:
     """``pages`` with ``text`` (the main text of ``html``) instead of ``html``, and its code points as ``n_chars``."""
     tree = default_tree() if tree is None else tree
     kept = [f for f in pages.schema if f.name.lower() not in ("text", "html", "n_chars")]
+    html = named(pages, "html")
 
     def extract(batches):
         for batch in batches:
-            texts = [main_text(x, tree) for x in batch.column("html").to_pylist()]
+            texts = [main_text(x, tree) for x in batch.column(html).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*(f.name for f in kept), "text", "n_chars"])
 
-    return pages.mapInArrow(extract, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["text string", "n_chars long"]))
+    return pages.mapInArrow(extract, StructType(kept + StructType.fromDDL("text string, n_chars long").fields))
 
 
 def digest(pages: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from factloom.llm.common import sized, written
+from factloom.llm.common import shielded, sized, written
 
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS, POWER, BUDGET, MAX_SOLVES = 10, 0.5, 0.8, 50
@@ -103,7 +103,9 @@ def weighted(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budge
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
     """The sampled rows of ``docs``, those of capped cells repeated, so that the tokens' marginals are the targets."""
-    return weighted(docs, targets, budget).filter("_copies > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")).select(docs.columns)
+    inner, restore = shielded(docs, "doc_id", "text", "source", "lang")
+    held = weighted(inner, targets, budget).filter("_copies > 0")
+    return restore(held.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))))
 
 
 def digest(docs: DataFrame) -> DataFrame:

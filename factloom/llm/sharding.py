@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import doc_key, from_key, sized, written
+from factloom.llm.common import doc_key, free_names, from_key, shielded, sized, written
 
 GRID = 1 << 16
 ROW_BYTES = 16
@@ -175,8 +175,11 @@ def assign(docs: DataFrame, shards: int) -> DataFrame:
 def write_shards(docs: DataFrame, shards: int, path: str) -> None:
     """Parquet folders shard=0.. under ``path``, in the order of slots."""
     found = written(assign(docs, shards).select("did", "g", "shard", "slot").dropDuplicates(["did", "g"]), "shards")
-    own = docs.withColumn("did", doc_key()).withColumn("g", text_group())
-    own.join(found, ["did", "g"]).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").drop("did", "g").write.partitionBy("shard").parquet(path)
+    inner, _ = shielded(docs, "doc_id", "text")
+    own = inner.withColumn("did", doc_key()).withColumn("g", text_group())
+    dealt = own.join(sized(found, 40), ["did", "g"]).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    shard = free_names(docs, "shard")[0]
+    dealt.select(*(F.col(f"`{n}`").alias(c) for n, c in zip(inner.columns, docs.columns, strict=True)), F.col("shard").alias(shard)).write.partitionBy(shard).parquet(path)
 
 
 def digest(docs: DataFrame, shards: int = 40) -> DataFrame:

@@ -11,7 +11,7 @@ bits for each listed key and log2(universe/listed) of them: it does not grow wit
 expressions: the only shuffle is the distinct of false positives, as many as there are listed keys.
 
 Defined results: null url or no ``://`` gives empty host and path, fits no rule and is allowed; repeated rows get
-equal verdicts; an empty rule list allows all; extra columns pass through. Where no rule fits, no listed key was
+equal verdicts; an empty rule list allows all; extra columns pass, and ours get an underscore where a name is taken. Where no rule fits, no listed key was
 found, which the method answers with ``allow``. Of fitting rules the longest (code points of the rule) wins.
 """
 
@@ -20,12 +20,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.llm.common import free_names, named, written
+
 MAX_LEVELS = 64
-#: Beyond so many words a level is no plan literal any more.
-MAX_LITERAL_WORDS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -37,7 +38,7 @@ class Rule:
 
     @property
     def host(self) -> str:
-        return self.text.partition("/")[0]
+        return self.text.partition("/")[0].lower()
 
     @property
     def path(self) -> str:
@@ -52,7 +53,7 @@ class Rule:
 class Level:
     bits: int
     hashes: int
-    words: list[int]
+    words: np.ndarray
 
 
 @dataclass
@@ -77,7 +78,7 @@ def _position(key: Column, seed: int, bits: int) -> Column:
 
 
 def _passes(key: Column, level: Level) -> Column:
-    words = F.array(*[F.lit(w).cast("long") for w in level.words])
+    words = F.lit(level.words)  # one array literal, whatever its size
     out = F.lit(True)
     for seed in range(level.hashes):
         at = _position(key, seed + 101 * level.bits, level.bits)
@@ -94,11 +95,9 @@ def _encode(keys: DataFrame, n: int, rate: float) -> Level:
     """A level for the n distinct values of ``key``: bit positions are grouped to words on the executors."""
     hashes = max(1, round(-math.log2(rate)))
     bits = max(64, 64 * math.ceil(n * hashes / math.log(2) / 64))
-    if bits // 64 > MAX_LITERAL_WORDS:
-        raise ValueError(f"a level of {bits} bits is beyond the literal limit; split the rule list")
     at = F.explode(F.array(*[_position(F.col("key"), seed + 101 * bits, bits) for seed in range(hashes)])).alias("at")
     rows = keys.select(at).groupBy(F.floor(F.col("at") / 64).alias("w")).agg(F.bit_or(_bit(F.col("at"))).alias("bits")).collect()  # bounded by the level's words
-    words = [0] * (bits // 64)
+    words = np.zeros(bits // 64, np.int64)
     for r in rows:
         words[r.w] = r.bits
     return Level(bits, hashes, words)
@@ -106,13 +105,14 @@ def _encode(keys: DataFrame, n: int, rate: float) -> Level:
 
 def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
     """The cascade of the ``key`` column of ``listed`` that is exact on the ``key`` column of ``universe``."""
-    listed = listed.filter(F.col("key").isNotNull()).distinct()
+    listed = written(listed.filter(F.col("key").isNotNull()).distinct(), "listed")
     r = listed.count()
     if not r:
         return Cascade()
     s = universe.agg(F.approx_count_distinct("key")).first()[0]
     out = Cascade([_encode(listed, r, min(0.5, 0.5 * r / max(s, 1)))])
-    wrong = universe.filter(_passes(F.col("key"), out.levels[0])).select("key").distinct().join(listed, "key", "left_anti")
+    # the one scan of the universe for false positives; later levels read these and the listed keys alone
+    wrong = written(universe.filter(_passes(F.col("key"), out.levels[0])).select("key").distinct().join(listed, "key", "left_anti"), "wrong")
     included, excluded = listed, wrong
     for _ in range(MAX_LEVELS):
         n = excluded.count()
@@ -141,29 +141,39 @@ def key_of(host: Column, path: Column, shape: tuple[int, int]) -> Column:
 
 
 def filter_urls(pages: DataFrame, rules: list[Rule], default: str = "allow") -> DataFrame:
-    """``pages`` with host, path, rule and verdict."""
+    """``pages`` with host, path, rule and verdict (``block`` or ``allow``)."""
     spark: SparkSession = pages.sparkSession
-    kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    host, path = url_parts(F.col("url"))
-    parts = pages.select(*kept, host.alias("host"), path.alias("path"))
+    names = free_names(pages, "host", "path", "rule", "verdict")
+    host, path = url_parts(F.col(f"`{named(pages, 'url')}`"))
+    parts = pages.withColumn(names[0], host).withColumn(names[1], path)
+    host, path = F.col(names[0]), F.col(names[1])
     shapes = sorted({r.shape for r in rules}, key=lambda x: (-x[0], -x[1]))
-    listed = spark.createDataFrame([(r.host + r.path,) for r in rules], "key string")
-    keys = F.array(*[key_of(F.col("host"), F.col("path"), x) for x in shapes]) if shapes else F.array(F.lit(None).cast("string"))
+    # a rule's key is its text; of several verdicts for one key, block holds
+    verdicts = _verdicts(rules)
+    listed = spark.createDataFrame(list(verdicts.items()), "key string, verdict string")
+    keys = F.array(*[key_of(host, path, x) for x in shapes]) if shapes else F.array(F.lit(None).cast("string"))
     universe = parts.select(F.explode(keys).alias("key")).filter("key is not null")
-    cascade = build_cascade(listed, universe)
+    cascade = build_cascade(listed.select("key"), universe)
+    # the listed keys are the universe of a second cascade, which holds those that block
+    blocks = build_cascade(listed.filter("verdict = 'block'").select("key"), listed.select("key"))
     # keys of longer rules first; the cascade has proved that the first hit is a listed key
-    longest = sorted(shapes, key=lambda x: -max(len(r.text) for r in rules if r.shape == x))
+    longest = sorted(shapes, key=lambda x: -max(len(r.host + r.path) for r in rules if r.shape == x))
     probe = F.lit(None).cast("string")
     for shape in reversed(longest):
-        key = key_of(F.col("host"), F.col("path"), shape)
+        key = key_of(host, path, shape)
         probe = F.when(key.isNotNull() & cascade.contains(key), _longer(key, probe)).otherwise(probe)
-    texts = {r.host + r.path: r for r in rules}
-    names = F.create_map(*[F.lit(x) for k, r in texts.items() for x in (k, r.text)]) if rules else None
-    verdicts = F.create_map(*[F.lit(x) for k, r in texts.items() for x in (k, r.verdict)]) if rules else None
-    out = parts.withColumn("_key", probe)
-    rule = F.try_element_at(names, F.col("_key")) if rules else F.lit(None).cast("string")
-    verdict = F.coalesce(F.try_element_at(verdicts, F.col("_key")), F.lit(default)) if rules else F.lit(default)
-    return out.select(*kept, "host", "path", F.when(F.col("_key").isNotNull(), rule).alias("rule"), F.when(F.col("_key").isNotNull(), verdict).otherwise(F.lit(default)).alias("verdict"))
+    out = parts.withColumn(names[2], probe)
+    rule = F.col(names[2])
+    return out.withColumn(names[3], F.when(rule.isNull(), F.lit(default)).when(blocks.contains(rule), F.lit("block")).otherwise(F.lit("allow")))
+
+
+def _verdicts(rules: list[Rule]) -> dict[str, str]:
+    """The verdict of each rule's key."""
+    out: dict[str, str] = {}
+    for r in rules:
+        key = r.host + r.path
+        out[key] = "block" if "block" in (r.verdict, out.get(key)) else "allow"
+    return out
 
 
 def _longer(a: Column, b: Column) -> Column:

@@ -100,3 +100,118 @@ def test_jaccard_dedup_by_row(spark):
     kept = jaccardjoin.dedup(docs)
     assert kept.columns == docs.columns
     assert Counter(map(tuple, kept.collect())) == Counter([rows[0], *rows[2:7]])
+
+
+LINE = "A line that is long enough to be held by many documents of the corpus"
+PASSAGE = " ".join(f"passage{i}" for i in range(60))
+CLASHES = "DOC_ID long, text string, lang string, source string, uid string, Spans int, n_hit int, n_words long, item_ids string, bitmap string, n_dropped int, score string, predicted int, did long, _did int, _sha string, _topic string, _tokens int, _u double, _source string, _lang string, key string, sid int, shard string, `odd name` int"
+
+
+@pytest.fixture(scope="module")
+def rows():
+    texts = [None, "", "clean text of its own", "clean text of its own", f"one {PASSAGE} two", f"three {PASSAGE} four", *[f"head {i}\n{LINE}\ntail {i}" for i in range(7)], "benchmark words " + " ".join(f"q{i}" for i in range(14)) + " after", "x" * 5000]
+    return [(i // 2 if i < 4 else None if i == 8 else i, t, "en", "web", "u", 1, 2, 3, "ids", "b", 4, "s", 5, 6, 7, "h", "t", 8, 0.5, "src", "lng", "k", 9, "sh", 10) for i, t in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def clashing(spark, rows):
+    return spark.createDataFrame(rows, CLASHES).repartition(3)
+
+
+def values(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def with_text(rows, change):
+    return Counter((r[0], change(r[1]), *r[2:]) for r in rows)
+
+
+def test_dedup_lines_keeps_rows(clashing, rows):
+    out = linededup.dedup_lines(clashing)
+    last = max(r[0] for r in rows if r[1] and LINE in r[1] and r[0] is not None)
+    want = Counter((r[0], r[1].replace(LINE + "\n", "") if r[1] and LINE in r[1] and r[0] != last else r[1], *r[2:]) for r in rows)
+    assert out.columns == clashing.columns and values(out) == want
+
+
+def test_remove_repeats_keeps_rows(clashing, rows):
+    out = suffixdedup.remove_repeats(clashing, 60, 20)
+    data = [(r[1] or "").encode() for r in rows]
+    marks = brute_spans(data, 60)
+    left = [bytes(c for c, m in zip(b, mark, strict=True) if not m).decode() for b, mark in zip(data, marks, strict=True)]
+    assert out.columns == clashing.columns
+    assert values(out) == Counter((r[0], None if r[1] is None else t, *r[2:]) for r, t in zip(rows, left, strict=True))
+    assert any(t != r[1] for r, t in zip(rows, left, strict=True) if r[1])
+
+
+def test_cut_spans_in_several_passes(spark, clashing, rows, monkeypatch):
+    item = " ".join(f"q{i}" for i in range(14))
+    bench = spark.createDataFrame([("a", item), ("b", None), ("c", "tail 3"), ("d", " ".join(PASSAGE.split()[:30]))], "item_id string, text string")
+    whole = decontaminate.contamination(clashing, bench)
+    for limit in (decontaminate.MAX_BYTES, 1):
+        monkeypatch.setattr(decontaminate, "MAX_BYTES", limit)
+        assert sorted(map(str, decontaminate.contamination(clashing, bench).collect())) == sorted(map(str, whole.collect()))
+        out = decontaminate.decontaminate(clashing, bench, remove="spans")
+        head = " ".join(PASSAGE.split()[:30])
+        cut = lambda t: t and t.replace(item, "").replace("tail 3", "").replace(head, "")
+        assert out.columns == clashing.columns and values(out) == with_text(rows, cut)
+        kept = decontaminate.decontaminate(clashing, bench)
+        assert values(kept) == Counter(r for r in rows if cut(r[1]) == r[1])
+
+
+def test_exact_dedup_keeps_rows(clashing, rows):
+    smallest = {}
+    for r in rows:
+        key = r[0] if r[0] is not None else -1
+        smallest[r[1] or ""] = min(key, smallest.get(r[1] or "", key))
+    want = Counter(r for r in rows if (r[0] if r[0] is not None else -1) == smallest[r[1] or ""])
+    assert values(exactdedup.dedup(clashing)) == want
+
+
+def test_mix_and_toxicity_keep_rows(spark, clashing, rows):
+    mixed = mixing.mix(clashing)
+    assert mixed.columns == clashing.columns and set(map(tuple, mixed.collect())) <= set(rows)
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(40)], "doc_id long, toxic int")
+    kept = toxicity.remove_toxic(clashing, labels)
+    assert kept.columns == clashing.columns and set(map(tuple, kept.collect())) <= set(rows)
+    assert values(toxicity.remove_toxic(clashing, labels.limit(0))) == Counter(rows)
+
+
+def test_stream_of_lines_in_small_batches():
+    """The streamed verdicts do not depend on how rows fall into batches."""
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    rows = sorted((rnd.choice((0, 0, 0, 1, 2, 3, 4)), 0, rnd.randrange(12), str(i).encode(), i) for i in range(300))
+    for size in (1, 2, 7, 300):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[a : a + size], strict=True)], ["hi", "lo", "did", "uid", "pos"]) for a in range(0, len(rows), size)]
+        out = [r for b in linededup._stream(5)(iter(batches)) for r in b.to_pylist()]
+        n, last = Counter(), {}
+        for hi, _, did, _, _ in {r[:3] + (0, 0) for r in rows}:
+            n[hi] += 1
+            last[hi] = max(did, last.get(hi, did))
+        edge = Counter()
+        for r in out:
+            if not r["settled"]:
+                edge[r["hi"]] += r["opens"]
+        dropped = {r["pos"] for r in out if r["settled"] or (edge[r["hi"]] >= 5 and r["did"] != last[r["hi"]])}
+        assert dropped == {pos for hi, _, did, _, pos in rows if n[hi] >= 5 and did != last[hi]}, size
+        assert all(edge[hi] == n[hi] for hi in edge)
+
+
+def test_shards_are_written_and_read_back(spark, clashing, rows, tmp_path):
+    from factloom.llm import sharding
+
+    sharding.write_shards(clashing, 3, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert set(back.columns) == {*clashing.columns, "shard_"}
+    assert values(back.select(clashing.columns)) == Counter(rows)
+
+
+def test_link_lists_inside_articles_are_menus():
+    from factloom.llm import htmltext
+
+    p = [" ".join(f"w{k}{i}" for i in range(n)) for k, n in enumerate((40, 35, 28))]
+    links = "<ul>" + "".join(f"<li><a href=/{i}>see also part {i}</a></li>" for i in range(4)) + "</ul>"
+    for page in (f"<article><p>{p[0]}</p><p>{p[1]}</p>{links}<p>{p[2]}</p></article>", f"<main><p>{p[0]}</p><p>{p[1]}</p><p>{p[2]}</p>{links}</main>", f"<div><p>{p[0]}</p>{links}<p>{p[1]}</p><p>{p[2]}</p></div>"):
+        assert htmltext.main_text(page) == "\n".join(p), page
+    assert htmltext.main_text(f"<article><p>{p[0]} <a href=/x>one link</a></p><p>{p[1]}</p></article>") == f"{p[0]} one link\n{p[1]}"
