@@ -7,6 +7,9 @@ and not with the square of a bucket. ``pair_edges`` makes the pairs, for traces
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,28 +100,47 @@ def cross_basis(parts: DataFrame, rules: RuleSet) -> DataFrame:
     each = both.join(crossed, ["k", "p", "k2", "p2"], "left_semi").select("obs_id", rank.alias("rank"), "k", "p").distinct()
     listed = each.groupBy("obs_id").agg(F.array_sort(F.collect_list(F.struct("rank", "k", "p"))).alias("c"))
     text = F.concat(F.lit("cross_basis_conflict: "), F.array_join(F.transform("c", lambda v: F.concat(v["k"], F.lit("->"), v["p"])), ","), F.lit("; precedence_winner="), F.col("c")[0]["k"])
-    return listed.select("obs_id", text.alias("conflict_detail"))
+    return listed.select("obs_id", text.alias("conflict_detail"), F.array_distinct(F.transform("c", lambda v: v["k"])).alias("bases"))
 
 
 def _best(claims: DataFrame, rules: RuleSet) -> DataFrame:
     rank = expr.lookup({b: n for n, b in enumerate(rules.precedence)}, F.col("key"))
     best = F.min(F.struct((-F.col("weight")).alias("w"), rank.alias("rank"), "value", "key"))
-    return claims.groupBy("obs_id").agg(best.alias("x")).select("obs_id", F.col("x.key").alias("basis"), (-F.col("x.w")).alias("weight"))
+    return claims.groupBy("obs_id").agg(best.alias("x")).select("obs_id", F.col("x.key").alias("basis"), (-F.col("x.w")).alias("weight"), F.col("x.value").alias("value"))
 
 
 def linking(claims: DataFrame, rules: RuleSet) -> DataFrame:
-    """obs_id, link_basis and link_weight: the best claim that made an edge, else the best of the own claims."""
+    """obs_id, link_basis, link_weight and link_value: the best claim that made an edge, else the best of the own claims."""
     made = _best(qualified(claims, rules).join(buckets(claims, rules).select("key", "value"), ["key", "value"], "left_semi"), rules)
-    own = _best(identity(claims, rules).select("obs_id", "key", "value", "weight"), rules).toDF("obs_id", "own_basis", "own_weight")
-    return own.join(made, "obs_id", "left").select("obs_id", F.coalesce("basis", "own_basis").alias("link_basis"), F.coalesce("weight", "own_weight").alias("link_weight"))
+    own = _best(identity(claims, rules).select("obs_id", "key", "value", "weight"), rules).toDF("obs_id", "own_basis", "own_weight", "own_value")
+    return own.join(made, "obs_id", "left").select("obs_id", F.coalesce("basis", "own_basis").alias("link_basis"), F.coalesce("weight", "own_weight").alias("link_weight"), F.coalesce("value", "own_value").alias("link_value"))
 
 
 def entities(observations: DataFrame, claims: DataFrame, rules: RuleSet) -> DataFrame:
-    """obs_id and entity_id. The id hashes all members' ids, so an entity's ids (not its rows) meet in one aggregate."""
+    """obs_id and entity_id. The id hashes all members' sorted ids, which one task streams."""
     parts = connected_components(hub_edges(claims, rules))
     placed = observations.select("obs_id").distinct().join(parts, F.col("obs_id") == parts["node"], "left").select("obs_id", F.coalesce("component", "obs_id").alias("part"))
     scheme = rules.entity_resolution.get("entity_id", {})
-    ids = placed.groupBy("part").agg(expr.entity_id(F.collect_set("obs_id"), scheme.get("prefix", "E-"), scheme.get("hash_length", 12)).alias("entity_id"))
+    prefix, length = scheme.get("prefix", "E-"), scheme.get("hash_length", 12)
+
+    def hashed(batches):
+        """The hash of each part's ids, joined by |, while they stream in order: no part is gathered."""
+        part, digest = None, None
+        for batch in batches:
+            parts, out = [], []
+            for p, obs in zip(batch.column("part").to_pylist(), batch.column("obs_id").to_pylist(), strict=True):
+                if p != part:
+                    if digest is not None:
+                        parts.append(part)
+                        out.append(prefix + digest.hexdigest()[:length])
+                    part, digest = p, hashlib.sha256(obs.encode())
+                else:
+                    digest.update(b"|" + obs.encode())
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.string()), pa.array(out, pa.string())], ["part", "entity_id"])
+        if digest is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.string()), pa.array([prefix + digest.hexdigest()[:length]], pa.string())], ["part", "entity_id"])
+
+    ids = placed.select("part", "obs_id").repartition("part").sortWithinPartitions("part", "obs_id").mapInArrow(hashed, "part string, entity_id string")
     return placed.join(ids, "part").select("obs_id", "entity_id")
 
 

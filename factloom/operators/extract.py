@@ -46,12 +46,17 @@ def _nested(pattern: str):
 
 def _cell(rules: RuleSet, kind: str, target: str, value: Column, group: Column, rule_id: str, start: Column, end: Column, when: Column) -> Column:
     clean = normalised(rules, kind, target, value)
-    body = F.struct(F.lit(kind).alias("target_kind"), F.lit(target).alias("target"), clean.alias("value"), group.alias("witness_group"), F.lit(rule_id).alias("rule_id"), start.cast("int").alias("start"), end.cast("int").alias("end"))
-    return F.when(when & value.isNotNull() & (value != "") & (clean != ""), body)
+    body = F.struct(F.lit(kind).alias("target_kind"), F.lit(target).alias("target"), clean.alias("value"), value.alias("raw"), group.alias("witness_group"), F.lit(rule_id).alias("rule_id"), start.cast("int").alias("start"), end.cast("int").alias("end"))
+    return F.when(when & value.isNotNull() & (value != ""), body)
 
 
 def extract(observations: DataFrame, rules: RuleSet) -> DataFrame:
     """obs_id, source and the columns of EXTRACTION: one row for each rule that found something in a mapped source."""
+    return readings(observations, rules).filter("value <> ''").select("obs_id", "source", *EXTRACTION)
+
+
+def readings(observations: DataFrame, rules: RuleSet) -> DataFrame:
+    """What ``extract`` returns, with the place among the rules (seq), the value before it was normalised (raw), and those it emptied."""
     e, groups, none = rules.extraction, rules.source_groups(), F.lit(None)
     source, payload = F.col("source"), F.coalesce("raw_payload", F.lit(""))
     cells = []
@@ -72,7 +77,7 @@ def extract(observations: DataFrame, rules: RuleSet) -> DataFrame:
     for name, rule in signatures.get("rules", {}).items():
         cells.append(_cell(rules, "field", signatures["target"], F.lit(name), F.lit("port_signature"), f"extraction.yaml#port_signatures.{name}", none, none, expr.signature(F.col("ports"), rule)))
     ready = observations.withColumn("witness", expr.lookup(groups, source)).filter("witness is not null").withColumn("ports", expr.port_list(F.col("open_ports")))
-    return ready.select("obs_id", "source", F.explode(F.array_compact(F.array(*cells))).alias("x")).select("obs_id", "source", *(f"x.{c}" for c in EXTRACTION))
+    return ready.select("obs_id", "source", F.posexplode(F.array_compact(F.array(*cells))).alias("seq", "x")).select("obs_id", "source", "seq", "x.raw", *(f"x.{c}" for c in EXTRACTION))
 
 
 def unmapped(observations: DataFrame, rules: RuleSet) -> DataFrame:

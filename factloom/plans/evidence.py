@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions import expr
 from factloom.functions.storage import written
-from factloom.operators import entity, evaluate, extract, fields
+from factloom.operators import entity, evaluate, extract, fields, replay, trace
 from factloom.sources.rules import RuleSet
 
 FIELDS = ["tier", "item", "amount", "role"]
@@ -104,6 +104,10 @@ class Run:
     def rollups(self) -> DataFrame:
         return fields.rollup(self.resolved, self.rules)
 
+    @property
+    def trace(self) -> DataFrame:
+        return self._once("trace", lambda: trace.trace(self.observations, self.claims, self.membership, self.resolved, written(self.observed, "observed"), self.rollups, self.rules))
+
     def outcomes(self) -> DataFrame:
         return evaluate.outcomes(labels(self.observations), self.observed, self.resolved, self.rollups, self.claims)
 
@@ -188,5 +192,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_pairs": _per(lambda r: evaluate.label_pairs(wide_labels(r.observations))),
     "label_precedence": _per(lambda r: evaluate.settle_labels(competing_labels(r.observations))),
     "label_transitivity": _per(lambda r: evaluate.intransitive(entity.pair_edges(r.claims, r.rules).filter("accepted"))),
+    "trace_steps": _per(lambda r: r.trace.groupBy("op").agg(F.count(F.lit(1)).alias("n"))),
+    "trace_orphans": _per(lambda r: replay.orphans(r.trace)),
+    "replay_claims": _per(lambda r: replay.claims(r.trace).select("obs_id", "key", "value", F.round("weight", 6).alias("weight"))),
+    "replay_membership": _per(lambda r: replay.membership(r.trace)),
+    "replay_differences": _per(lambda r: replay.differences(r.trace, r.claims, r.membership, r.resolved, r.rollups)),
     "obs_hash": _per(lambda r: r.observations.select("obs_id", expr.obs_hash(["obs_id", "source", "raw_payload", "mac", "hostname", "open_ports"]).alias("obs_hash"))),
 }
