@@ -67,12 +67,42 @@ def stability_quadrants(outcome: DataFrame) -> DataFrame:
     return flat.select(F.explode(rows).alias("x")).select("x.*")
 
 
-def four_buckets(before: DataFrame, after: DataFrame) -> DataFrame:
-    """obs_id, key, bucket of the outcomes that both runs decided."""
-    b = before.filter("correct is not null").select("obs_id", "key", F.col("correct").alias("was"))
-    a = after.filter("correct is not null").select("obs_id", "key", F.col("correct").alias("now"))
+class LabelsMoved(ValueError):
+    """Two runs were scored on different labels: their outcomes tell nothing about rules alone."""
+
+
+def four_buckets(before: DataFrame, after: DataFrame, before_labels: str | None = None, after_labels: str | None = None) -> DataFrame:
+    """obs_id, key, bucket, before and after (values) of the outcomes that both runs decided. Known hashes of the labels must be equal."""
+    if before_labels is not None and after_labels is not None and before_labels != after_labels:
+        raise LabelsMoved("the labels differ between the runs; make two passes")
+    b = before.filter("correct is not null").select("obs_id", "key", F.col("correct").alias("was"), F.col("actual").alias("before"))
+    a = after.filter("correct is not null").select("obs_id", "key", F.col("correct").alias("now"), F.col("actual").alias("after"))
     name = F.when(~F.col("was") & F.col("now"), "fixed").when(F.col("was") & ~F.col("now"), "broken").when(F.col("was"), "stable_correct").otherwise("stable_incorrect")
-    return b.join(a, ["obs_id", "key"]).select("obs_id", "key", name.alias("bucket"))
+    return b.join(a, ["obs_id", "key"]).select("obs_id", "key", name.alias("bucket"), "before", "after")
+
+
+def two_pass(baseline: DataFrame, rules_held: DataFrame | None, labels_held: DataFrame, baseline_labels: str, current_labels: str) -> DataFrame:
+    """``four_buckets`` of either cause with ``delta``: labels (old rules, new labels) and rules (new rules, old labels), both against the baseline."""
+    rule = four_buckets(baseline, labels_held).withColumn("delta", F.lit("rules"))
+    if baseline_labels == current_labels:
+        return rule
+    if rules_held is None:
+        raise LabelsMoved("the labels moved and no pass with the old rules was given")
+    return four_buckets(baseline, rules_held).withColumn("delta", F.lit("labels")).unionByName(rule)
+
+
+def propose_bump(buckets: DataFrame, before_keys: set[str], after_keys: set[str], before_words: set[str], after_words: set[str]) -> str:
+    """What a change of rules did, as a version bump."""
+    if before_keys != after_keys or before_words - after_words:
+        return "major"
+    if after_words - before_words:
+        return "minor"
+    return "patch" if buckets.filter("bucket in ('fixed', 'broken')").isEmpty() else "minor"
+
+
+def regressions(buckets: DataFrame, changed_files: list[str]) -> DataFrame:
+    """The broken cases, as they are logged."""
+    return buckets.filter("bucket = 'broken'").select("obs_id", F.lit("field").alias("key_type"), "key", "before", "after", F.lit("|".join(sorted(changed_files))).alias("changed_rule_files"))
 
 
 def pair_quality(truth: DataFrame, predicted: DataFrame) -> DataFrame:
@@ -128,6 +158,12 @@ def reject_queue(claims: DataFrame) -> DataFrame:
     return counted.join(second, ["key", "value"], "left").join(third, ["key", "value"], "left").select("key", "value", "n", F.concat_ws("|", "o1", "o2", "o3").alias("examples"))
 
 
+def ranked_rejects(queue: DataFrame, top: int | None = None) -> DataFrame:
+    """``reject_queue`` from the most frequent on, in the order that a report lists them; ``top`` as the report's length."""
+    out = queue.orderBy(F.desc("n"), "key", "value")
+    return out.limit(top) if top else out
+
+
 def metrics(observations: DataFrame, extractions: DataFrame, claims: DataFrame, membership: DataFrame, resolved: DataFrame, observed: DataFrame, rollups: DataFrame, rules: RuleSet) -> DataFrame:
     """metric, scope, value, n: what can be told of a run without labels. Histograms give the share, and n the total."""
 

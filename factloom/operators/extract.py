@@ -17,13 +17,12 @@ EXTRACTION = "target_kind, target, value, witness_group, rule_id, start, end".sp
 
 
 def normalised(rules: RuleSet, kind: str, target: str, value: Column) -> Column:
-    n = rules.normalization
     if kind == "link_basis":
         return expr.normalize_mac(value) if target == "mac" else expr.normalize_hostname(value) if target == "hostname_token" else value
-    tables = n.get("aliases", {}).get(target)
+    tables = rules.aliases.get(target)
     if tables is None:
         return value
-    return expr.alias(value, tables, n.get("rebrand", {}).get(target, {}))
+    return expr.alias(value, tables, rules.rebrand.get(target, {}))
 
 
 def _nested(pattern: str):
@@ -95,6 +94,11 @@ def payload_gaps(observations: DataFrame, extractions: DataFrame) -> DataFrame:
     return observations.filter(F.coalesce("raw_payload", F.lit("")) != "").join(extractions.filter("start is not null").select("obs_id"), "obs_id", "left_anti").select("obs_id", "source")
 
 
+def backlog(observations: DataFrame, gaps: DataFrame) -> DataFrame:
+    """The payloads that a list of gaps (obs_id) stands for: what new rules are to be made from."""
+    return observations.join(gaps.select("obs_id"), "obs_id", "left_semi").select("obs_id", "source", "raw_payload")
+
+
 def group_claims(extractions: DataFrame) -> DataFrame:
     keys = ["obs_id", F.col("target_kind").alias("kind"), F.col("target").alias("key"), "value"]
     return extractions.groupBy(*keys).agg(F.array_sort(F.collect_set("witness_group")).alias("witness_groups"), F.array_sort(F.collect_set("source")).alias("sources"))

@@ -69,16 +69,17 @@ def _extraction_steps(observations: DataFrame, rules: RuleSet) -> tuple[list[Dat
     columns = {f"extraction.yaml#{n}": r["column"] for n, r in rules.extraction.get("structured", {}).items()}
     place = F.when(F.col("start").isNotNull(), F.concat(F.lit("raw_payload["), F.col("start"), F.lit(":"), F.col("end"), F.lit("]"))).when(F.col("rule_id") == "extraction.yaml#oui", F.lit("mac[0:8]")).otherwise(F.coalesce(expr.lookup(columns, F.col("rule_id")), F.lit("open_ports")))
     read = written(step(found, "extract", F.col("rule_id"), F.array(F.concat(_of("obs", F.col("obs_id")), F.lit("#"), place)), F.col("raw")), "extract-steps")
-    aliases, rebrand = rules.normalization.get("aliases", {}), rules.normalization.get("rebrand", {})
-    names = {"mac": "mac", "hostname_token": "hostname", **{t: f"{t}_alias" for t in aliases}}
-    touched = F.col("target").isin(list(names)) & ~F.col("witness_group").isin("oui", "port_signature") & ((F.col("target_kind") == "link_basis") == F.col("target").isin("mac", "hostname_token"))
+    aliases, rebrand = rules.aliases, rules.rebrand
+    names = {t: rules.suffix(b) for t, b in {"mac": "mac", "hostname_token": "hostname", **{t: f"{t}_alias" for t in aliases}}.items()}
+    lifted = ~F.col("witness_group").isin("oui", "port_signature") | (F.col("raw") != F.col("value"))
+    touched = F.col("target").isin(list(names)) & lifted & ((F.col("target_kind") == "link_basis") == F.col("target").isin("mac", "hostname_token"))
     first = F.col("value")
     for target, table in aliases.items():
         first = F.when(F.col("target") == target, expr.alias(F.col("raw"), table, {})).otherwise(first)
     own = read.filter(touched).withColumnRenamed("step_id", "read_id").drop("op", "parents", "body").withColumn("first", first)
     cleaned = written(step(own, "normalize", F.concat(F.lit("normalization.yaml#"), expr.lookup(names, F.col("target"))), None, F.col("first"), _strings("read_id"), before=F.col("raw")), "normalize-steps")
     hops = cleaned.filter(F.col("target").isin(list(rebrand)) & (F.col("first") != F.col("value")))
-    hops = step(hops.withColumnRenamed("step_id", "first_id").drop("op", "parents", "body"), "normalize", "normalization.yaml#oem_rebrand", None, F.col("value"), _strings("first_id"), before=F.col("first"))
+    hops = step(hops.withColumnRenamed("step_id", "first_id").drop("op", "parents", "body"), "normalize", f"normalization.yaml#{rules.suffix('oem_rebrand')}", None, F.col("value"), _strings("first_id"), before=F.col("first"))
     hops = written(hops, "rebrand-steps")
     key = ["obs_id", "seq"]
     last = read.select(*key, "target_kind", "target", "value", F.col("step_id").alias("read_id")).join(cleaned.select(*key, F.col("step_id").alias("clean_id")), key, "left").join(hops.select(*key, F.col("step_id").alias("hop_id")), key, "left")

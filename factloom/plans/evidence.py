@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions import expr
 from factloom.functions.storage import written
-from factloom.operators import entity, evaluate, extract, fields, replay, trace
+from factloom.operators import entity, evaluate, extract, fields, lifecycle, replay, trace
 from factloom.sources.rules import RuleSet
 
 FIELDS = ["tier", "item", "amount", "role"]
@@ -48,7 +48,7 @@ def event_rules(user_tier: bool = True) -> RuleSet:
         },
         entity_resolution={"link_weight_threshold": 0.55, "basis_precedence": ["mac", "serial", "hostname_token"], "entity_id": {"prefix": "E-", "hash_length": 12}},
         field_resolution={"decay_base": 0.75, "conflict_policy": {"per_field": {"amount": "undecidable"}}, "final_output": {"columns": FIELDS, "direct_only": ["amount"], "confidence_bands": {"high": 0.7, "medium": 0.4}}},
-        vocab={"tier": {"bronze", "silver", "gold"}, "role": {"camera", "web server", "switch"}},
+        vocab={"tier": {"bronze", "silver", "gold", "Unknown"}, "role": {"camera", "web server", "switch", "unknown"}},
     )
 
 
@@ -137,6 +137,46 @@ def competing_labels(obs: DataFrame) -> DataFrame:
     return base.unionByName(more(five == 0, F.concat(item, F.lit("x")), evaluate.BASIS_PRECEDENCE[0])).unionByName(more(five <= 1, item, evaluate.BASIS_PRECEDENCE[1])).unionByName(more(five == 1, F.concat(item, F.lit("y")), evaluate.BASIS_PRECEDENCE[1])).unionByName(more(five == 2, item, "payload_inference"))
 
 
+HASHED = ["obs_id", "source", "raw_payload", "mac", "hostname", "open_ports"]
+
+
+def long_labels(obs: DataFrame) -> DataFrame:
+    """The labels as a label file holds them."""
+    return labels(obs).select("obs_id", "key_type", "key", "value", "status", F.lit("payload_inference").alias("label_basis"), "labeler_certainty", F.lit("false").alias("blinded"), F.lit("").alias("obs_hash"), F.lit("first").alias("labeled_by"), F.lit("").alias("labeled_at"))
+
+
+def returned(obs: DataFrame) -> DataFrame:
+    """What labellers send back: mostly sound rows, and some of each kind that may not be taken."""
+    r = obs.join(wide_labels(obs).select("obs_id", "item"), "obs_id").filter("k % 4 = 0")
+    odd = F.col("k") % 7
+    fresh = F.concat(F.lit("sha256:"), expr.obs_hash(HASHED))
+    return r.select("obs_id", F.when(odd == 1, "guess").otherwise("field").alias("key_type"), F.when(odd == 2, "colour").otherwise("item").alias("key"), F.when(odd == 3, " ").when(odd == 6, F.concat("item", F.lit("z"))).otherwise(F.col("item")).alias("value"), F.when(odd == 4, "sha256:old").otherwise(fresh).alias("obs_hash"), F.lit("second").alias("labeled_by"))
+
+
+def _returned(run: Run) -> DataFrame:
+    sent = lifecycle.packet(long_labels(run.observations), run.observations, HASHED)
+    return lifecycle.returned_labels(sent, returned(run.observations), run.observations, HASHED, FIELDS)
+
+
+def _applied(run: Run) -> DataFrame:
+    accepted = _returned(run).filter("rejected is null").drop("rejected")
+    vendor = long_labels(run.observations).filter("key = 'role'").withColumn("label_basis", F.lit("vendor_doc")).withColumn("labeled_by", F.lit("third"))
+    other = vendor.filter("value = 'camera'").withColumn("value", F.lit("switch"))
+    return lifecycle.apply_adjudicated(long_labels(run.observations), accepted.unionByName(vendor).unionByName(other))
+
+
+def _two_pass(spark, d):
+    old, new = Run(spark, d, event_rules(user_tier=False)), Run(spark, d)
+
+    def scored(run: Run, moved: bool) -> DataFrame:
+        marks = labels(run.observations)
+        if moved:
+            marks = marks.withColumn("value", F.when((F.col("key") == "tier") & (F.col("value") == "gold"), "silver").otherwise(F.col("value")))
+        return evaluate.outcomes(marks, run.observed, run.resolved, run.rollups, run.claims)
+
+    return evaluate.two_pass(scored(old, False), scored(old, True), scored(new, False), "first", "second")
+
+
 def _text(df: DataFrame) -> DataFrame:
     """Arrays as joined strings, for tables that are compared or exported."""
     return df.select(*(F.array_join(c, "|").alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes))
@@ -192,6 +232,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_pairs": _per(lambda r: evaluate.label_pairs(wide_labels(r.observations))),
     "label_precedence": _per(lambda r: evaluate.settle_labels(competing_labels(r.observations))),
     "label_transitivity": _per(lambda r: evaluate.intransitive(entity.pair_edges(r.claims, r.rules).filter("accepted"))),
+    "label_vocabulary": _per(lambda r: lifecycle.out_of_vocabulary(competing_labels(r.observations).unionByName(labels(r.observations).select("obs_id", "key_type", "key", F.upper("value").alias("value"), "status", F.lit("vendor_doc").alias("label_basis"))), r.rules)),
+    "label_changes": _per(lambda r: lifecycle.label_changes(long_labels(r.observations), long_labels(r.observations).filter("key <> 'amount'").withColumn("value", F.when(F.col("value") == "gold", "silver").otherwise(F.col("value"))))),
+    "label_apply": _per(lambda r: _applied(r).select("obs_id", "key", "value", "status", "label_basis", "change", "refused")),
+    "packet_stratum": _per(lambda r: lifecycle.packet_stratum(long_labels(r.observations), r.observations)),
+    "packet": _per(lambda r: lifecycle.packet(long_labels(r.observations), r.observations, HASHED)),
+    "returned_validation": _per(lambda r: _returned(r).select("obs_id", "key_type", "key", "value", "labeler_certainty", "labeled_by", "rejected")),
+    "two_pass": _two_pass,
+    "payload_backlog": _per(lambda r: extract.backlog(r.observations, extract.payload_gaps(r.observations, r.extractions))),
     "trace_steps": _per(lambda r: r.trace.groupBy("op").agg(F.count(F.lit(1)).alias("n"))),
     "trace_orphans": _per(lambda r: replay.orphans(r.trace)),
     "replay_claims": _per(lambda r: replay.claims(r.trace).select("obs_id", "key", "value", F.round("weight", 6).alias("weight"))),

@@ -101,6 +101,14 @@ _LABELS = """SELECT obs_id, key, value, 'payload_inference' AS basis, 4 AS tier
   UNION ALL SELECT obs_id, 'item', item || 'y', 'asset_inventory', 2 FROM lw WHERE k % 5 = 1
   UNION ALL SELECT obs_id, 'item', item, 'payload_inference', 4 FROM lw WHERE k % 5 = 2"""
 
+_LONG = "lng AS (SELECT obs_id, key_type, key, value, status, 'payload_inference' AS label_basis, labeler_certainty FROM lab)"
+_PACKET = "pk AS (SELECT obs_id FROM lng GROUP BY obs_id HAVING bool_or(labeler_certainty IN ('medium', 'low')))"
+_HASH = f"'sha256:' || sha256({" || '|' || ".join(_HASHED)})"
+_RETURNED = f"""ret AS (SELECT obs_id, CASE WHEN k % 7 = 1 THEN 'guess' ELSE 'field' END AS key_type, CASE WHEN k % 7 = 2 THEN 'colour' ELSE 'item' END AS key,
+  CASE k % 7 WHEN 3 THEN ' ' WHEN 6 THEN k || 'z' ELSE CAST(k AS VARCHAR) END AS value, k % 7 = 4 AS stale FROM obs WHERE k % 4 = 0),
+judged AS (SELECT *, CASE WHEN obs_id NOT IN (SELECT obs_id FROM pk) THEN 'not in the packet' WHEN key_type = 'guess' THEN 'no declared kind of label' WHEN key = 'colour' THEN 'no declared key' WHEN trim(value) = '' THEN 'empty value' WHEN stale THEN 'stale obs_hash' END AS rejected FROM ret)"""
+_LIFE = f", {_LONG}, {_PACKET}, {_RETURNED}"
+
 SQL: dict[str, str] = {
     name: _query(body)
     for name, body in {
@@ -145,6 +153,22 @@ f AS (SELECT obs_id, key, count(*) AS top, count(DISTINCT value) AS vals, any_va
 SELECT DISTINCT obs_id, 'field' AS key_type, key, value, CASE WHEN vals > 1 THEN 'disputed' WHEN top > 1 AND f.n = top THEN 'agreed' WHEN f.n > 1 THEN 'adjudicated' ELSE 'proposed' END AS status, basis AS label_basis, CASE WHEN vals > 1 THEN top ELSE 1 END AS labels FROM t JOIN f USING (obs_id, key) WHERE tier = best""",
         "label_transitivity": """, p AS (SELECT DISTINCT a, b FROM pairs WHERE accepted), e AS (SELECT a AS x, b AS y FROM p UNION SELECT b, a FROM p)
 SELECT u.x, u.y AS a, v.y AS b FROM e u JOIN e v ON u.x = v.x AND u.y < v.y WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.a = u.y AND p.b = v.y)""",
+        "label_vocabulary": f""", every_label AS ({_LABELS} UNION ALL SELECT obs_id, key, upper(value), 'vendor_doc', 3 FROM lab)
+SELECT obs_id, key, value FROM every_label WHERE key = 'tier' AND value NOT IN ('bronze', 'silver', 'gold', 'Unknown') OR key = 'role' AND value NOT IN ('camera', 'web server', 'switch', 'unknown')""",
+        "label_changes": "SELECT obs_id, key_type, key, value AS before, CASE WHEN key = 'amount' THEN NULL ELSE 'silver' END AS after, CASE WHEN key = 'amount' THEN 'removed' ELSE 'value_changed' END AS change FROM lab WHERE key = 'amount' OR value = 'gold'",
+        "label_apply": f"""{_LIFE}
+SELECT obs_id, key, value, status, label_basis, NULL AS change, NULL AS refused FROM lng WHERE key IN ('tier', 'amount')
+UNION ALL SELECT l.obs_id, l.key, coalesce(j.value, l.value), CASE WHEN j.value IS NULL THEN l.status ELSE 'adjudicated' END, CASE WHEN j.value IS NULL THEN l.label_basis ELSE 'physical_inspection' END,
+  CASE WHEN j.value IS NULL THEN NULL WHEN j.value <> l.value THEN 'value_changed' ELSE 'provenance_upgraded' END, NULL FROM lng l LEFT JOIN (SELECT * FROM judged WHERE rejected IS NULL) j USING (obs_id) WHERE l.key = 'item'
+UNION ALL SELECT obs_id, key, value, CASE WHEN value = 'camera' THEN status ELSE 'adjudicated' END, CASE WHEN value = 'camera' THEN label_basis ELSE 'vendor_doc' END, CASE WHEN value <> 'camera' THEN 'provenance_upgraded' END, CASE WHEN value = 'camera' THEN 'disputed' END FROM lng WHERE key = 'role'""",
+        "packet_stratum": f"{_LIFE} SELECT obs_id FROM pk",
+        "packet": f"{_LIFE} SELECT obs_id, {_HASH} AS obs_hash, source, raw_payload, mac, hostname, open_ports FROM obs WHERE obs_id IN (SELECT obs_id FROM pk)",
+        "returned_validation": f"{_LIFE} SELECT obs_id, key_type, key, value, 'low' AS labeler_certainty, 'second' AS labeled_by, rejected FROM judged",
+        "payload_backlog": """SELECT obs_id, source, raw_payload FROM obs WHERE obs_id NOT IN (SELECT obs_id FROM ext WHERE "start" IS NOT NULL)""",
+        "trace_orphans": "SELECT '' AS step_id, '' AS op, '' AS parent FROM ev WHERE false",
+        "replay_claims": "SELECT obs_id, key, value, weight FROM cl",
+        "replay_membership": "SELECT obs_id, entity_id, link_basis, basis_agreement FROM mem",
+        "replay_differences": "SELECT '' AS part, '' AS item, '' AS problem FROM ev WHERE false",
         "obs_hash": f"SELECT obs_id, sha256({" || '|' || ".join(_HASHED)}) AS obs_hash FROM obs",
     }.items()
 }

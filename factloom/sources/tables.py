@@ -23,7 +23,42 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Lines of JSON; a line that does not parse is kept in ``_corrupt_record``."""
-    lines = spark.read.text(path).filter(F.trim("value") != "")
+    """Lines of one JSON file with their number (``line``, from 1); a line that does not parse is kept in ``_corrupt_record``."""
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("at", "value")).filter(F.trim("value") != "")
     parsed = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return lines.select(parsed.alias("j")).select("j.*")
+    return lines.select((F.col("at") + 1).alias("line"), parsed.alias("j")).select("line", "j.*")
+
+
+def read_trace(spark: SparkSession, path: str) -> DataFrame:
+    """step_id, op, parents and body of a trace file; many files, too. Lines that are no steps are left out (``read_jsonl`` shows them)."""
+    body = F.col("value")
+    parsed = F.from_json(body, "step_id string, op string, parents array<string>")
+    return spark.read.text(path).select(parsed.alias("j"), body.alias("body")).filter("j.step_id is not null").select("j.*", "body")
+
+
+def steps_of(trace: DataFrame, *ops: str) -> DataFrame:
+    return trace.filter(F.col("op").isin(list(ops)))
+
+
+def read_document(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON document as one row."""
+    return spark.read.json(path, multiLine=True)
+
+
+def fields_of(columns: list[str]) -> list[str]:
+    """A column is a field if there is one for its confidence."""
+    return [c for c in columns if f"{c}_confidence" in columns]
+
+
+def load_registry(path: str) -> dict[str, dict]:
+    """The metrics that a run may give, with what is said of each."""
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        return yaml.safe_load(f)
+
+
+def registered(metrics: DataFrame, registry: dict[str, dict], labels: bool) -> DataFrame:
+    """Metrics of the registry; of a run without labels only those that need none."""
+    names = [n for n, m in registry.items() if labels or not m.get("requires_labels")]
+    return metrics.filter(F.col("metric").isin(names))
