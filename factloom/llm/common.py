@@ -14,17 +14,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from factloom.functions.storage import discard, shared_folder, written  # noqa: F401
+from factloom.functions import storage
+from factloom.functions.storage import discard, shared_folder  # noqa: F401
 
 #: The ASCII white space of all the text contracts: \x20 and \x09-\x0D.
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 #: A small side may be broadcast up to this many bytes (estimated from its counted rows).
 BROADCAST_BYTES = 24 << 20
+#: Rows of an Arrow batch: whole texts and sets of hashes are rows here, and JVM and Python hold a batch of each task.
+BATCH_ROWS = 2048
 #: Stands for a null doc_id in keys; no real id has it.
 NULL_ID = -(2**63)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Keeps Arrow batches to BATCH_ROWS, so that memory does not follow the number of rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """As ``storage.written``, with small Arrow batches."""
+    small_batches(df.sparkSession)
+    return storage.written(df, name)
+
+
 def sized(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``small`` with a broadcast hint if its counted rows fit ``limit``; else as it is, for a shuffled join.
 
@@ -71,6 +87,7 @@ def named(df: DataFrame, column: str) -> str:
 
 def appended(df: DataFrame, columns: str, make: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:
     """``df`` with the ``columns`` (DDL) that ``make()``, called once in each task, computes from a batch."""
+    small_batches(df.sparkSession)
     more = StructType.fromDDL(columns)
     schema = StructType(df.schema.fields + more.fields)
     names = schema.names
@@ -85,6 +102,7 @@ def appended(df: DataFrame, columns: str, make: Callable[[], Callable[[pa.Record
 
 def replaced_text(df: DataFrame, extra: str, cut: Callable[[bytes, object], bytes]) -> DataFrame:
     """``df`` without its last column ``extra``; where that is not null, ``text`` is ``cut(text, extra)``. Null texts stay null."""
+    small_batches(df.sparkSession)
     text = named(df, "text")
     schema = StructType([f for f in df.schema.fields if f.name != extra])
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from factloom.llm.common import free_names, named, replaced_text
+from factloom.llm.common import free_names, named, replaced_text, small_batches
 from factloom.llm.shingles import WordHashes
 from factloom.llm.textscan import BLOCK_BYTES, lower_table, window_hashes
 
@@ -126,6 +126,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, item_id: s
 
 def _scan(docs: DataFrame, items: list, n: int, names: list[str], again: bool) -> DataFrame:
     """One pass; hits of later passes are joined to those of earlier ones."""
+    small_batches(docs.sparkSession)
     windows = docs.sparkSession.sparkContext.broadcast(WindowSet(items, n))
     text = named(docs, "text")
     kept = [f for f in docs.schema.fields if f.name not in names]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from factloom.llm.common import named
+from factloom.llm.common import named, small_batches
 
 #: Elements that start and end a block.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -414,6 +414,7 @@ def extract_text(pages: DataFrame, tree=None) -> DataFrame:
     tree = default_tree() if tree is None else tree
     kept = [f for f in pages.schema if f.name.lower() not in ("text", "html", "n_chars")]
     html = named(pages, "html")
+    small_batches(pages.sparkSession)
 
     def extract(batches):
         for batch in batches:

@@ -17,7 +17,7 @@ from factloom.llm.textscan import BLOCK_BYTES, mix, window_hashes
 class WordHashes(dict):
     """64-bit hashes of words, kept while there are at most ``LIMIT``."""
 
-    LIMIT = 1 << 18
+    LIMIT = 1 << 16
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
