@@ -14,7 +14,6 @@ itself, so repeated rows get equal results. Cutting spans out leaves null texts
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,11 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from factloom.llm.common import free_names, named, replaced_text, small_batches
-from factloom.llm.shingles import WordHashes
-from factloom.llm.textscan import BLOCK_BYTES, lower_table, window_hashes
+from factloom.llm.textscan import blocks, bytes_and_offsets, lower_table, prefix_sums, span_hashes, window_hashes, word_spans
 
 WORD_BYTES = lower_table(lambda b: b >= 128 or 48 <= b <= 57 or 97 <= b <= 122)
-_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+_TABLE = np.frombuffer(WORD_BYTES, np.uint8)
 #: Bytes of one pass's set: item words and WINDOW_BYTES for each window.
 MAX_BYTES, WINDOW_BYTES = 64 << 20, 16
 NAMES = ("n_words", "n_hit", "item_ids", "spans")
@@ -41,18 +39,24 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(WORD_BYTES).split()
 
 
+def _word_hashes(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, starts, ends, index of each text's first word) of normalised bytes; equal words have equal hashes."""
+    starts, ends, first = word_spans(text != 32, offsets)
+    return span_hashes(prefix_sums(text, 10), starts, ends), starts, ends, first
+
+
 class WindowSet:
     """Windows of benchmark items by length: sorted hashes with their item and place; the items' words for the proof."""
 
     def __init__(self, items: list[tuple[str, bytes]], n: int):
         self.ids = [i for i, _ in items]
         self.texts = [b" ".join(words_of(t)) for _, t in items]
-        known, parts = WordHashes(), defaultdict(list)
+        parts = defaultdict(list)
         for k, text in enumerate(self.texts):
-            words = text.split()
-            size = min(n, len(words))
-            if words:
-                h = window_hashes(known.of(words), size)
+            if text:
+                words = _word_hashes(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+                size = min(n, len(words))
+                h = window_hashes(words, size)
                 parts[size].append((h, np.full(len(h), k, np.int32), np.arange(len(h), dtype=np.int32)))
         self.by_size = {}
         for size, own in parts.items():
@@ -64,28 +68,25 @@ class WindowSet:
             self.by_size[size] = (h[order], item[order], place[order], seen)
 
     def finder(self):
-        """A function from the words of a block of texts to the hits (row, word range, item ids)."""
-        known = WordHashes()
+        """A function from a block of texts to each one's words, hits (word range, item ids) and the words' byte ranges."""
         item_words = lru_cache(4096)(lambda k: self.texts[k].split())
 
-        def find(texts: list[list[bytes]]) -> dict[int, list]:
-            words = [w for t in texts for w in t]
-            counts = np.array([len(t) for t in texts])
-            row_of = np.repeat(np.arange(len(texts)), counts)
-            first = np.concatenate([[0], np.cumsum(counts)])
-            own, hits = known.of(words), defaultdict(list)
+        def find(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, dict[int, list], np.ndarray, np.ndarray]:
+            text = _TABLE[data]
+            words, starts, ends, first = _word_hashes(text, offsets)
+            row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+            hits = defaultdict(list)
             for size, (hashes, item, place, seen) in self.by_size.items():
-                h = window_hashes(own, size)
+                h = window_hashes(words, size)
                 at = np.flatnonzero(seen[(h & np.uint64(0xFFFF)).astype(np.int64)])
                 at = at[row_of[at] == row_of[at + size - 1]]
                 low, high = np.searchsorted(hashes, h[at]), np.searchsorted(hashes, h[at], "right")
-                for i, a, b in zip(at.tolist(), low.tolist(), high.tolist(), strict=True):
-                    got = words[i : i + size]
+                for i, a, b in zip(at[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist(), strict=True):
+                    got = text[starts[i] : ends[i + size - 1]].tobytes().split()
                     ids = {self.ids[k] for k, p in zip(item[a:b].tolist(), place[a:b].tolist(), strict=True) if item_words(k)[p : p + size] == got}
                     if ids:
-                        row = int(row_of[i])
-                        hits[row].append((i - int(first[row]), i - int(first[row]) + size, ids))
-            return hits
+                        hits[int(row_of[i])].append((i, i + size, ids))
+            return first, hits, starts, ends
 
         return find
 
@@ -135,30 +136,23 @@ def _scan(docs: DataFrame, items: list, n: int, names: list[str], again: bool) -
     def scan(batches):
         find = windows.value.finder()
         for batch in batches:
-            raw = batch.column(text).cast(pa.binary()).to_pylist()
+            data, offsets = bytes_and_offsets(batch.column(text))
             old = batch.select(names[2:]).to_pylist() if again else None
             n_words, n_hit, ids, spans = [], [], [], []
-            at = 0
-            while at < len(raw):
-                block, size = [], 0
-                while at + len(block) < len(raw) and (not block or size < BLOCK_BYTES):
-                    block.append(words_of(raw[at + len(block)]))
-                    size += len(raw[at + len(block) - 1] or b"")
-                hits = find(block)
-                for row, words in enumerate(block):
-                    own = hits.get(row, ())
-                    found, item_ids = [], {i for x in own for i in x[2]}
-                    if own:
-                        places = [m.span() for m in _WORD.finditer(raw[at + row])]
-                        found = [(places[a][0], places[b - 1][1]) for a, b in merged([x[:2] for x in own])]
-                    if again and old[at + row][names[3]]:
-                        found = merged(found + [(x["start"], x["end"]) for x in old[at + row][names[3]]])
-                        item_ids |= set(old[at + row][names[2]])
-                    n_words.append(len(words))
-                    n_hit.append(sum(len(words_of(raw[at + row][a:b])) for a, b in found))
+            for first_row, _, part, own in blocks(data, offsets):
+                first, hits, starts, ends = find(part, own)
+                for row in range(len(own) - 1):
+                    hit = hits.get(row, ())
+                    found = [(int(starts[a] - own[row]), int(ends[b - 1] - own[row])) for a, b in merged([x[:2] for x in hit])]
+                    item_ids = {i for x in hit for i in x[2]}
+                    if again and old[first_row + row][names[3]]:
+                        found = merged(found + [(x["start"], x["end"]) for x in old[first_row + row][names[3]]])
+                        item_ids |= set(old[first_row + row][names[2]])
+                    raw = part[own[row] : own[row + 1]].tobytes() if found else b""
+                    n_words.append(int(first[row + 1] - first[row]))
+                    n_hit.append(sum(len(words_of(raw[a:b])) for a, b in found))
                     ids.append(sorted(item_ids))
                     spans.append([{"start": a, "end": b} for a, b in found])
-                at += len(block)
             arrays = [batch.column(f.name) for f in kept] + [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(ids, pa.list_(pa.string())), pa.array(spans, SPANS)]
             yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
