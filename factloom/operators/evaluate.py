@@ -75,8 +75,9 @@ def four_buckets(before: DataFrame, after: DataFrame, before_labels: str | None
     """obs_id, key, bucket, before and after (values) of the outcomes that both runs decided. Known hashes of the labels must be equal."""
     if before_labels is not None and after_labels is not None and before_labels != after_labels:
         raise LabelsMoved("the labels differ between the runs; make two passes")
-    b = before.filter("correct is not null").select("obs_id", "key", F.col("correct").alias("was"), F.col("actual").alias("before"))
-    a = after.filter("correct is not null").select("obs_id", "key", F.col("correct").alias("now"), F.col("actual").alias("after"))
+    seen = lambda df: F.col("actual") if "actual" in df.columns else F.lit(None).cast("string")
+    b = before.filter("correct is not null").select("obs_id", "key", F.col("correct").alias("was"), seen(before).alias("before"))
+    a = after.filter("correct is not null").select("obs_id", "key", F.col("correct").alias("now"), seen(after).alias("after"))
     name = F.when(~F.col("was") & F.col("now"), "fixed").when(F.col("was") & ~F.col("now"), "broken").when(F.col("was"), "stable_correct").otherwise("stable_incorrect")
     return b.join(a, ["obs_id", "key"]).select("obs_id", "key", name.alias("bucket"), "before", "after")
 

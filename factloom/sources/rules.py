@@ -78,6 +78,9 @@ class RuleSet:
         hashes = self.file_hashes or {n: _sha256(json.dumps(getattr(self, n), sort_keys=True, default=str).encode()) for n in FILES}
         return _sha256(json.dumps([hashes[k] for k in sorted(hashes)], separators=(",", ":")).encode())
 
+    def content_hash(self) -> str:
+        return self.rollup
+
 
 def _sha256(data: bytes) -> str:
     return "sha256:" + hashlib.sha256(data).hexdigest()
