@@ -4,10 +4,12 @@ Texts (A-Z lower-cased) are cut into windows of ``WINDOW_WORDS`` words. Each win
 once with the toxic dictionary; the bytes that the toxic one saves tell how toxic the window is. A logistic
 function of how many windows save how much gives the score.
 
-Each dictionary is trained on the texts of its own class only, by one rule and to one size: as zstandard's trainer does, it
-takes the segments that save most over all samples, here whole words, as passages do not repeat in text of this kind (with
-passages of zstandard's own trainer, windows differ by which documents the passages came from). A word counts once for each text,
-must stand in a ``SHARE`` of them, and the most frequent ones come last, where references are cheapest.
+Each dictionary is trained on the texts of its own class only: as zstandard's trainer does, it takes the segments that save
+most over all samples, here whole words, as passages do not repeat in text of this kind (with passages of zstandard's own
+trainer, windows differ by which documents the passages came from). A word counts once for each text, and once where the same
+word follows it, so that near copies of one text do not make a word frequent. It must stand in a ``SHARE`` of the texts; the
+most frequent come last, where references are cheapest. The ordinary dictionary is larger and asks for a smaller share,
+so that what is common in ordinary text costs nothing there.
 
 Training takes a documented, bounded sample: at most ``MAX_TOXIC`` and ``MAX_ORDINARY`` labelled texts of the training
 folds, those with the smallest hash of their doc_id, and of texts beyond ``TRAIN_BYTES`` pieces spread evenly over the text.
@@ -26,6 +28,7 @@ import math
 import pickle
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +38,12 @@ from pyspark.sql import functions as F
 
 from factloom.llm.common import appended, free_names, named
 
-WINDOW_WORDS = 4
-DICTIONARY_BYTES = 4_096
-SHARE = 0.02
+WINDOW_WORDS = 1
+#: Bytes of a dictionary, and the share of the texts that must hold each of its words.
+TOXIC_BYTES, TOXIC_SHARE = 4_096, 0.02
+ORDINARY_BYTES, ORDINARY_SHARE = 8_192, 0.005
+#: Windows whose lengths a task remembers.
+REMEMBERED = 65_536
 MAX_TOXIC, MAX_ORDINARY = 3_000, 6_000
 TRAIN_BYTES = 65_536
 CUT, PRECISION = 0.7, 0.8
@@ -47,7 +53,7 @@ _STRIP = bytes(range(33, 48)) + b":;<=>?@[]^_`{|}~"
 
 
 def _parameters() -> zstandard.ZstdCompressionParameters:
-    return zstandard.ZstdCompressionParameters(window_log=17, chain_log=16, hash_log=15, search_log=7, min_match=4, target_length=64, strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+    return zstandard.ZstdCompressionParameters(window_log=17, chain_log=16, hash_log=15, search_log=7, min_match=6, target_length=64, strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
 
 
 def windows(text: bytes) -> list[bytes]:
@@ -55,24 +61,33 @@ def windows(text: bytes) -> list[bytes]:
     return [b" " + b" ".join(words[i : i + WINDOW_WORDS]) + b" " for i in range(0, len(words), WINDOW_WORDS)] or [b"  "]
 
 
-def train_dictionary(texts: list[bytes]) -> bytes:
-    """The words that save most over ``texts``, within DICTIONARY_BYTES.
+def train_dictionary(texts: list[bytes], size: int, share: float) -> bytes:
+    """The words in a ``share`` of ``texts`` that save most over them, within ``size`` bytes.
 
     The most frequent come last, words of about one frequency in the order of the alphabet: what both classes hold then lies at about
     one distance in both dictionaries, and costs the same.
     """
-    held: Counter[bytes] = Counter()
-    for t in texts:
-        held.update({w.strip(_STRIP) for w in t.lower().split()})
-    least = max(3, SHARE * len(texts))
+    split = [[w.strip(_STRIP) for w in t.lower().split()] for t in texts]
+    held = Counter(w for words in split for w in set(words))
+    least = max(3, share * len(texts))
+    places: dict[bytes, set[bytes]] = {w: set() for w, n in held.items() if n >= least}
+    for words in split:  # the first place of a word in a text
+        first = {w: after for w, after in zip(reversed(words), [b"", *reversed(words)], strict=False) if w in places}
+        for w, after in first.items():
+            places[w].add(after)
+    held = Counter({w: min(held[w], len(after)) for w, after in places.items()})
     chosen, total = [], 0
     for word, n in sorted(held.items(), key=lambda x: (-x[1] * (len(x[0]) - 2), x[0])):
         if n >= least and len(word) > 2:
             chosen.append((math.floor(2 * math.log2(n / len(texts))), b" " + word))
             total += len(word) + 1
-            if total >= DICTIONARY_BYTES:
+            if total >= size:
                 break
-    return b"".join(word for _, word in sorted(chosen)).rjust(DICTIONARY_BYTES, b"\0") + b" "
+    return b"".join(word for _, word in sorted(chosen)).rjust(size, b"\0") + b" "
+
+
+def train_both(ordinary: list[bytes], toxic: list[bytes]) -> tuple[bytes, bytes]:
+    return train_dictionary(ordinary, ORDINARY_BYTES, ORDINARY_SHARE), train_dictionary(toxic, TOXIC_BYTES, TOXIC_SHARE)
 
 
 @dataclass
@@ -106,8 +121,12 @@ def feature_maker(ordinary: bytes, toxic: bytes):
 
     long, short = compressor(ordinary), compressor(toxic)
 
+    @lru_cache(maxsize=REMEMBERED)
+    def saving(window: bytes) -> int:
+        return len(long(window)) - len(short(window))
+
     def features(text: bytes) -> tuple[float, ...]:
-        saved = np.sort([len(long(w)) - len(short(w)) for w in windows(text)])
+        saved = np.sort([saving(w) for w in windows(text)])
         n = len(saved)
         many = n - np.searchsorted(saved, STEPS)
         return (math.log1p(max(0, saved[-1])), math.log1p(max(0, saved[-4:].sum())), float(saved.mean()), *np.log1p(many).tolist(), *(many[1:4] / n).tolist(), math.log1p(n))
@@ -150,7 +169,7 @@ def train(toxic: list[bytes], ordinary: list[bytes], ordinary_weight: float = 1.
         return Model()
     x, y = [], []
     for side in (0, 1):  # by turns, so that either half has texts of all kinds
-        features = feature_maker(train_dictionary(ordinary[1 - side :: 2]), train_dictionary(toxic[1 - side :: 2]))
+        features = feature_maker(*train_both(ordinary[1 - side :: 2], toxic[1 - side :: 2]))
         for label, texts in ((1, toxic[side::2]), (0, ordinary[side::2])):
             x += [features(t) for t in texts]
             y += [label] * len(texts)
@@ -158,7 +177,7 @@ def train(toxic: list[bytes], ordinary: list[bytes], ordinary_weight: float = 1.
     weight = np.where(y == 1, 1.0, ordinary_weight)
     weights = _logistic(x, y, weight)
     cut = _best_cut(weights[0] + x @ weights[1:], y, weight)
-    return Model(train_dictionary(ordinary), train_dictionary(toxic), tuple(weights.tolist()), math.log(CUT / (1 - CUT)) - cut)
+    return Model(*train_both(ordinary, toxic), tuple(weights.tolist()), math.log(CUT / (1 - CUT)) - cut)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -210,7 +229,7 @@ def score(docs: DataFrame, model: Model, score: str = "score", predicted: str =
 
         return scores
 
-    return appended(docs, f"`{score}` double, `{predicted}` int", make)  # the model is two dictionaries of DICTIONARY_BYTES
+    return appended(docs, f"`{score}` double, `{predicted}` int", make)  # the model is two dictionaries of 12 KB
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
