@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions import expr
 from factloom.operators.evaluate import BASIS_PRECEDENCE
-from factloom.sources.rules import RuleSet
+from factloom.sources import files
+from factloom.sources.rules import RuleSet, bumped
 
 IDENTITY = ["obs_id", "key_type", "key", "id_value"]
 BUMPS = ("patch", "minor", "major")
@@ -135,3 +137,45 @@ def returned_labels(sent: DataFrame, returned: DataFrame, observations: DataFram
     text = lambda c, default: F.coalesce(F.col(c), F.lit(default)) if c in returned.columns else F.lit(default)
     certainty = text("labeler_certainty", "")
     return rows.select("obs_id", "key_type", "key", "value", F.lit("adjudicated").alias("status"), F.lit("physical_inspection").alias("label_basis"), F.when(certainty != "", certainty).otherwise("low").alias("labeler_certainty"), F.lit("true").alias("blinded"), "obs_hash", text("labeled_by", "adjudicator").alias("labeled_by"), text("labeled_at", "").alias("labeled_at"), reason.alias("rejected"))
+
+
+LABEL_ORDER = ["obs_id", "key_type", "key", "value"]
+
+
+def _beside(labels: str, name: str) -> str:
+    return f"{labels.rsplit('/', 1)[0]}/{name}"
+
+
+def version_verified(spark: SparkSession, labels: str) -> bool | None:
+    """Whether the label file is what the last commit left, under its version; None where none is recorded."""
+    state = _beside(labels, "last_label_state.json")
+    if not files.exists(spark, state):
+        return None
+    known = json.loads(files.read_text(spark, state))
+    return known["labels_hash"] == files.content_hash(spark, labels) and known["version"] == files.read_text(spark, _beside(labels, "VERSION")).strip()
+
+
+def commit_labels(spark: SparkSession, labels: str, settled: DataFrame, source_run: str, applied_at: str) -> dict:
+    """Replaces the label file by the ``settled`` rows (``apply_adjudicated``) that hold; the old file goes to the archive.
+
+    The new file is written first, so that a lost job leaves the old one as it was. Nothing is done where nothing changed, and an archived version is
+    never overwritten. Returns what happened, as the journal has it.
+    """
+    changes = settled.filter("change is not null").select("obs_id", "key_type", "key", "value", "change")
+    bump, version = propose_bump(changes), files.read_text(spark, _beside(labels, "VERSION")).strip()
+    before = files.content_hash(spark, labels)
+    done = {"applied_at": applied_at, "source_run_id": source_run, "bump": bump, "version_before": version, "version_after": version, "archive": None, "labels_hash_before": before, "labels_hash_after": before}
+    if bump is None:
+        return done
+    archive, fresh = _beside(labels, f"archive/{version}-labels.csv"), f"{labels}.new"
+    if files.exists(spark, archive):
+        raise LabelError(f"version {version} is archived already")
+    files.export_csv(settled.filter("value is not null").drop("change", "refused"), fresh, LABEL_ORDER)
+    files.move(spark, labels, archive)
+    files.move(spark, fresh, labels)
+    done |= {"version_after": bumped(version, bump), "archive": archive, "labels_hash_after": files.content_hash(spark, labels), "changes": {r.change: r["count"] for r in changes.groupBy("change").count().collect()}}
+    files.write_text(spark, _beside(labels, "VERSION"), done["version_after"] + "\n")
+    files.write_json(spark, _beside(labels, "last_label_state.json"), {"labels_hash": done["labels_hash_after"], "version": done["version_after"]})
+    entry = spark.createDataFrame([(json.dumps(done, sort_keys=True),)], "value string")
+    entry.coalesce(1).write.mode("append").text(_beside(labels, "journal"))
+    return done

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from factloom.functions import expr
 from factloom.functions.storage import written
-from factloom.operators import entity, evaluate, extract, fields, lifecycle, replay, trace
+from factloom.operators import entity, evaluate, extract, fields, lifecycle, replay
+from factloom.plans.stages import Stages
 from factloom.sources.rules import RuleSet
 
 FIELDS = ["tier", "item", "amount", "role"]
@@ -67,46 +68,11 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-class Run:
-    """The stages over one input; those that several others read are written once."""
+class Run(Stages):
+    """The stages over the events of a folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, rules: RuleSet | None = None):
-        self.rules = rules or event_rules()
-        self.observations = observations(spark, sf_dir)
-        self._kept: dict[str, DataFrame] = {}
-
-    def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._kept:
-            self._kept[name] = written(make(), name)
-        return self._kept[name]
-
-    @property
-    def extractions(self) -> DataFrame:
-        return extract.extract(self.observations, self.rules)
-
-    @property
-    def claims(self) -> DataFrame:
-        return self._once("claims", lambda: extract.claims(self.extractions, self.rules))
-
-    @property
-    def membership(self) -> DataFrame:
-        return self._once("membership", lambda: entity.membership(self.observations, self.claims, self.rules))
-
-    @property
-    def resolved(self) -> DataFrame:
-        return self._once("resolved", lambda: fields.resolve(self.claims, self.membership, self.rules))
-
-    @property
-    def observed(self) -> DataFrame:
-        return fields.observe(self.claims, self.membership, self.resolved, self.rules)
-
-    @property
-    def rollups(self) -> DataFrame:
-        return fields.rollup(self.resolved, self.rules)
-
-    @property
-    def trace(self) -> DataFrame:
-        return self._once("trace", lambda: trace.trace(self.observations, self.claims, self.membership, self.resolved, written(self.observed, "observed"), self.rollups, self.rules))
+        super().__init__(observations(spark, sf_dir), rules or event_rules())
 
     def outcomes(self) -> DataFrame:
         return evaluate.outcomes(labels(self.observations), self.observed, self.resolved, self.rollups, self.claims)
