@@ -30,9 +30,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``written``, in ``buckets`` by ``key``: joins on it do not shuffle the table again. ``df`` is partitioned so already.
+
+    With fewer buckets than shuffle partitions Spark would shuffle it nevertheless.
+    """
+    spark, uid = df.sparkSession, uuid.uuid4().hex
+    path, table = f"{shared_folder(spark)}/factloom-{name}-{uid}", f"factloom_{name}_{uid}"
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table, format="parquet")
+    out = spark.table(table)
+    out.written_path, out.written_table = path, table
+    return out
+
+
 def discard(*tables: DataFrame) -> None:
-    """Delete tables that ``written`` made and that nothing reads any more."""
+    """Delete tables that ``written`` or ``bucketed`` made and that nothing reads any more."""
     for df in tables:
         spark = df.sparkSession
+        if name := getattr(df, "written_table", None):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         path = spark._jvm.org.apache.hadoop.fs.Path(df.written_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
