@@ -41,6 +41,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return storage.written(df, name)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """As ``storage.bucketed``, with small Arrow batches."""
+    small_batches(df.sparkSession)
+    return storage.bucketed(df, name, key, buckets)
+
+
 def sized(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``small`` with a broadcast hint if its counted rows fit ``limit``; else as it is, for a shuffled join.
 

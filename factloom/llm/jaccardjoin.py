@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import discard, doc_key, free_names, from_key, named, row_key, sized, written
+from factloom.llm.common import bucketed, discard, doc_key, free_names, from_key, named, row_key, sized, written
 from factloom.llm.shingles import shingle_sets, sums_by
 from factloom.llm.textscan import mix
 from factloom.operators.graph import connected_components
@@ -53,6 +53,8 @@ FANOUT = 16
 #: Sets that a task compares to one hub.
 TASK_SETS = 256
 FULL = 65535
+#: Sets in a bucket of their table, which is shuffled once and joined in each round.
+BUCKET_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -426,9 +428,10 @@ def components(docs: DataFrame, n: int, t: Threshold, keys: list[str]) -> DataFr
     inside = written(members.select("short").distinct(), "inside")
     chosen = written(first.join(sized(inside, 24), "short"), "chosen")
     ids = written(rows.join(sized(chosen.select("sid", "did", "short"), 48), ["sid", "did"]).select("short", "sid", "size", "vector").dropDuplicates(["sid"]), "ids")
-    sets = written(sets_of(docs, chosen, n).join(sized(chosen.select("sid"), 32), "sid", "left_semi"), "sets")
-    if sets.count() > chosen.count():  # repeated rows
-        sets = written(sets.dropDuplicates(["sid"]), "sets")
+    bytes_ = ids.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"] * 8
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-bytes_ // BUCKET_BYTES))
+    every = sets_of(docs, chosen, n).repartition(buckets, "sid").join(sized(chosen.select("sid"), 32), "sid", "left_semi")
+    sets = bucketed(every.dropDuplicates(["sid"]), "sets", "sid", buckets)
     tried = written(_home_pairs(members, ids, t).distinct(), "home-pairs")
     links = written(_verified(tried, sets, t), "links")
     near = connected_components(links)
