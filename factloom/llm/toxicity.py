@@ -43,7 +43,7 @@ WINDOW_WORDS = 1
 TOXIC_BYTES, TOXIC_SHARE = 4_096, 0.02
 ORDINARY_BYTES, ORDINARY_SHARE = 8_192, 0.005
 #: Windows whose lengths a task remembers.
-REMEMBERED = 65_536
+REMEMBERED = 16_384
 MAX_TOXIC, MAX_ORDINARY = 3_000, 6_000
 TRAIN_BYTES = 65_536
 CUT, PRECISION = 0.7, 0.8
@@ -67,11 +67,16 @@ def train_dictionary(texts: list[bytes], size: int, share: float) -> bytes:
     The most frequent come last, words of about one frequency in the order of the alphabet: what both classes hold then lies at about
     one distance in both dictionaries, and costs the same.
     """
-    split = [[w.strip(_STRIP) for w in t.lower().split()] for t in texts]
-    held = Counter(w for words in split for w in set(words))
+
+    def words_of(text: bytes) -> list[bytes]:
+        return [w.strip(_STRIP) for w in text.lower().split()]
+
+    held: Counter[bytes] = Counter()
+    for t in texts:  # one text's words at a time
+        held.update(set(words_of(t)))
     least = max(3, share * len(texts))
     places: dict[bytes, set[bytes]] = {w: set() for w, n in held.items() if n >= least}
-    for words in split:  # the first place of a word in a text
+    for words in map(words_of, texts):  # the first place of a word in a text
         first = {w: after for w, after in zip(reversed(words), [b"", *reversed(words)], strict=False) if w in places}
         for w, after in first.items():
             places[w].add(after)
@@ -229,7 +234,7 @@ def score(docs: DataFrame, model: Model, score: str = "score", predicted: str =
 
         return scores
 
-    return appended(docs, f"`{score}` double, `{predicted}` int", make)  # the model is two dictionaries of 12 KB
+    return appended(docs, f"`{score}` double, `{predicted}` int", make)  # the model is two dictionaries, 12 KB
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
