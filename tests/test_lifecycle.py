@@ -50,6 +50,16 @@ def test_a_hole_in_the_trace_is_named(spark):
     assert body["op"] == "assign_entity" and body["step_id"] == lost.step_id and body["parents"] == lost.parents
 
 
+def test_claims_come_from_their_own_part_of_the_trace(spark):
+    run = Run(spark, "/root/testdata/sf0.001")
+    steps = run.steps("extraction", "claims")
+    assert set(run._parts) == {"extraction", "claims"}  # no pair of observations was made
+    assert not {r.op for r in steps.select("op").distinct().collect()} & {"merge", "merge_redundant", "resolve_field"}
+    again = replay.claims(steps.unionByName(steps)).select("obs_id", "key", "value", "weight")
+    want = run.claims.select("obs_id", "key", "value", "weight")
+    assert again.count() == want.count() and again.exceptAll(want).isEmpty()
+
+
 def test_files_are_read(spark, tmp_path):
     import yaml
 
