@@ -1,8 +1,9 @@
+import hashlib
 import json
 
 import pytest
 
-from factloom.operators import evaluate, lifecycle, replay
+from factloom.operators import entity, evaluate, lifecycle, replay, trace
 from factloom.plans.evidence import FIELDS, Run, event_rules
 from factloom.sources import rules as rule_files
 from factloom.sources import tables
@@ -60,6 +61,32 @@ def test_claims_come_from_their_own_part_of_the_trace(spark):
     assert again.count() == want.count() and again.exceptAll(want).isEmpty()
 
 
+def test_bodies_are_canonical_json(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["plain", 'q"\\/', "é𝔘", "\x7f\x01\t\n", "1E5", None]
+    numbers = [0.7, 1e-5, 0.00012, 1 / 3, 123456789.5, -0.0, None]
+    rows = spark.createDataFrame([(t, n, [t]) for t in texts for n in numbers], "t string, n double, l array<string>")
+    made = trace.step(rows, "score", "r", F.array("t"), F.col("n"), F.col("l"), key=F.col("t"), value=F.col("n"), detail=F.struct("l", "n"), zeta=F.col("t")).collect()
+    for r in made:
+        body = {"op": "score", "rule_id": "r", "inputs": [r.t], "output": r.n, "parents": r.parents, "key": r.t, "value": r.n, "detail": {"l": r.l, "n": r.n}, "zeta": r.t}
+        assert r.step_id == "sha256:" + hashlib.sha256(trace.canonical_json(body).encode()).hexdigest() and r.op == "score" and r.parents == r.l
+        assert r.body == trace.canonical_json({"step_id": r.step_id, **body})
+    run = Run(spark, "/root/testdata/sf0.001")
+    assert all(s.body == trace.canonical_json(json.loads(s.body)) for s in run.trace.select("body").collect())
+
+
+def test_a_part_makes_only_what_it_comes_from(spark):
+    run = Run(spark, "/root/testdata/sf0.001")
+    assert not run.steps("entities").isEmpty()
+    assert set(run._halves) == {"link_basis"}  # no field is read or scored
+    found = {(r.kind, r.n) for r in run._halves["link_basis"].scored.groupBy("kind").agg({"obs_id": "count"}).toDF("kind", "n").collect()}
+    assert found == {("link_basis", run.claims.filter("kind = 'link_basis'").count())}
+    # components stream through tasks, none is a pandas frame of its own
+    plan = entity.merge_forest(entity.pair_edges(run.claims, run.rules), run.rules)._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInPandas" not in plan and "MapInArrow" in plan
+
+
 def test_files_are_read(spark, tmp_path):
     import yaml
 
