@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from factloom.llm.common import free_names, named, replaced_text, small_batches
+from factloom.llm.common import free_names, named, released, replaced_text, small_batches
 from factloom.llm.textscan import blocks, bytes_and_offsets, lower_table, prefix_sums, span_hashes, window_hashes, word_spans
 
 WORD_BYTES = lower_table(lambda b: b >= 128 or 48 <= b <= 57 or 97 <= b <= 122)
@@ -156,7 +156,7 @@ def _scan(docs: DataFrame, items: list, n: int, names: list[str], again: bool) -
             arrays = [batch.column(f.name) for f in kept] + [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(ids, pa.list_(pa.string())), pa.array(spans, SPANS)]
             yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(released(scan), schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, remove: str = "documents") -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import bucketed, discard, doc_key, free_names, from_key, named, row_key, sized, written
+from factloom.llm.common import bucketed, discard, doc_key, free_names, from_key, named, released, row_key, sized, written
 from factloom.llm.shingles import shingle_sets, sums_by
 from factloom.llm.textscan import mix
 from factloom.operators.graph import connected_components
@@ -103,7 +103,7 @@ def points(docs: DataFrame, n: int, keys: list[str]) -> DataFrame:
                 vectors += [v.tobytes() for v in count_vectors(rows, h, end - first)]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(size), pa.array(ids, pa.binary()), pa.array(vectors, pa.binary())], [*(f.name for f in fields), "size", "sid", "vector"])
 
-    return docs.select(*keys, "text").mapInArrow(scan, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", size long, sid binary, vector binary")
+    return docs.select(*keys, "text").mapInArrow(released(scan), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", size long, sid binary, vector binary")
 
 
 def set_ids(rows: np.ndarray, h: np.ndarray) -> list[tuple[int, bytes]]:
@@ -191,7 +191,7 @@ def routed(docs: DataFrame, n: int, t: Threshold) -> DataFrame:
                 row, digest = digests(rows[own], h[own], t)
                 yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), pa.array(sid, pa.binary()).take(pa.array(row))], ["digest", "sid"])
 
-    return docs.select("text").mapInArrow(scan, "digest long, sid binary").select("digest", short_id("sid").alias("short"))
+    return docs.select("text").mapInArrow(released(scan), "digest long, sid binary").select("digest", short_id("sid").alias("short"))
 
 
 def regions(sig: DataFrame) -> DataFrame:
@@ -218,7 +218,7 @@ def regions(sig: DataFrame) -> DataFrame:
         if held and held[2]:
             yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held[:2]], ["digest", "short"])
 
-    return sig.repartition("digest").sortWithinPartitions("digest", "short").mapInArrow(scan, "digest long, short long")
+    return sig.repartition("digest").sortWithinPartitions("digest", "short").mapInArrow(released(scan), "digest long, short long")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -237,7 +237,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(lists, pa.binary())], ["sid", "hashes"])
 
     near = docs.join(sized(wanted.select("did").distinct(), 24), "did", "left_semi").select("text")
-    return near.mapInArrow(scan, "sid binary, hashes binary")
+    return near.mapInArrow(released(scan), "sid binary, hashes binary")
 
 
 class CountVectorTree:
@@ -322,7 +322,7 @@ def _streamed(df: DataFrame, keys: list[str], order: list[str], judge: Callable,
         if held:
             yield from judge(pa.Table.from_batches(held)).to_batches()
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(released(run), schema)
 
 
 def _vectors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -415,7 +415,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
                     b.append(sid)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    return first.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", "kind").mapInArrow(verify, "a binary, b binary")
+    return first.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", "kind").mapInArrow(released(verify), "a binary, b binary")
 
 
 def components(docs: DataFrame, n: int, t: Threshold, keys: list[str]) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import doc_key, free_names, from_key, shielded, sized, written
+from factloom.llm.common import doc_key, free_names, from_key, released, shielded, sized, written
 
 GRID = 1 << 16
 ROW_BYTES = 16
@@ -65,7 +65,7 @@ def placed(docs: DataFrame) -> tuple[DataFrame, int]:
     several = written(keyed.groupBy("g").agg(F.min("did").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "leaders")
     led = keyed.join(sized(several, 64), "g", "left").withColumn("leader", F.coalesce("leader", "did"))
     order = ("leader", "g", "did")
-    inside = written(led.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_number, PLACED), "placed")
+    inside = written(led.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(released(_number), PLACED), "placed")
     parts = inside.groupBy("pid").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes")).collect()  # a row for each partition
     offsets, rows, size = [], 0, 0
     for r in sorted(parts, key=lambda r: r.pid):

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import appended, free_names, named
+from factloom.llm.common import appended, free_names, named, released
 
 WINDOW_WORDS = 1
 #: Bytes of a dictionary, and the share of the texts that must hold each of its words.
@@ -217,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         weight = total.get(0, 0) / max(1, len(ordinary)) * len(toxic) / max(1, total.get(1, 0))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(toxic, ordinary, weight))])], ["model"])
 
-    learned = rows.repartition(1).mapInArrow(learn, "model binary").first()
+    learned = rows.repartition(1).mapInArrow(released(learn), "model binary").first()
     return pickle.loads(learned["model"]) if learned else Model()
 
 

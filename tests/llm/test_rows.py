@@ -215,3 +215,17 @@ def test_link_lists_inside_articles_are_menus():
     for page in (f"<article><p>{p[0]}</p><p>{p[1]}</p>{links}<p>{p[2]}</p></article>", f"<main><p>{p[0]}</p><p>{p[1]}</p><p>{p[2]}</p>{links}</main>", f"<div><p>{p[0]}</p>{links}<p>{p[1]}</p><p>{p[2]}</p></div>"):
         assert htmltext.main_text(page) == "\n".join(p), page
     assert htmltext.main_text(f"<article><p>{p[0]} <a href=/x>one link</a></p><p>{p[1]}</p></article>") == f"{p[0]} one link\n{p[1]}"
+
+
+def test_tasks_give_their_memory_back(monkeypatch):
+    from factloom.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    assert list(common.released(lambda batches: (b + 1 for b in batches))([1, 2])) == [2, 3] and calls == [1]
+    early = common.released(lambda batches: (b for b in batches))([1, 2])
+    assert next(early) == 1
+    early.close()
+    assert calls == [1, 1]
+    monkeypatch.undo()
+    common.give_back()
