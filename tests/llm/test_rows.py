@@ -229,3 +229,27 @@ def test_tasks_give_their_memory_back(monkeypatch):
     assert calls == [1, 1]
     monkeypatch.undo()
     common.give_back()
+
+
+def test_suffix_lookup_leaves_out_windows_that_neighbours_rule_out(spark, monkeypatch):
+    """Texts that share a passage ask for windows just beyond it: other texts of the key are not looked up at all of these."""
+    import random
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("ab") for _ in range(n))
+    texts = [word(12) + "qwertyzx" + word(12) for _ in range(60)]
+    docs = spark.createDataFrame([(bytearray(i.to_bytes(2, "big")), t) for i, t in enumerate(texts)], "uid binary, text string")
+    rows, real = {}, suffixdedup.written
+
+    def counted(df, name):
+        out = real(df, name)
+        rows[name] = out.collect()
+        return out
+
+    monkeypatch.setattr(suffixdedup, "written", counted)
+    suffixdedup.repeated_spans(docs, 16, 5, 4).collect()
+    asked = {}
+    for r in rows["asked"]:
+        asked.setdefault(r.key, set()).update(r.ats if "ats" in r else [r.at])
+    every = sum(16 - len(e["suffix"]) <= at <= len(e["head"]) for e in rows["entries"] for at in asked.get(e.key, ()))
+    assert 0 < len(rows["windows"]) < 0.6 * every
