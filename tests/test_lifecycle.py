@@ -87,6 +87,31 @@ def test_a_part_makes_only_what_it_comes_from(spark):
     assert "FlatMapGroupsInPandas" not in plan and "MapInArrow" in plan
 
 
+def test_a_trace_without_bodies_has_the_same_steps(spark):
+    lean, whole = Run(spark, "/root/testdata/sf0.001", bodies=False), Run(spark, "/root/testdata/sf0.001")
+    kept = lean.kept_steps()
+    assert kept.columns == ["step_id", "op", "parents"]
+    assert all(hasattr(t, "written_path") and "body" not in t.columns for p in lean._parts.values() for t in p)
+    ids = lambda df: {(r.step_id, r.op, *r.parents) for r in df.select("step_id", "op", "parents").collect()}
+    assert ids(kept) == ids(whole.steps())
+    assert replay.orphans(kept).isEmpty()
+
+
+def test_small_graphs_are_settled_in_one_task(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from factloom.operators import graph
+
+    edges = spark.createDataFrame([(f"n{i:03}", f"n{i + 1:03}") for i in range(90) if i % 10] + [("n000", "n050")], "a string, b string")
+    pairs = edges.select(*(F.struct(F.lit("k").alias("key"), F.col(c).alias("obs_id")).alias(c) for c in ("a", "b")))
+    found = [{tuple(r) for r in graph.connected_components(e).collect()} for e in (edges, pairs)]
+    rounds = []
+    monkeypatch.setattr(graph, "_settled", lambda e, settled=graph._settled: rounds.append(e.count()) or settled(e))
+    monkeypatch.setattr(graph, "TASK_EDGES", 5)
+    assert found == [{tuple(r) for r in graph.connected_components(e).collect()} for e in (edges, pairs)]
+    assert rounds and max(rounds) <= 5 and ("n050", "n000") in found[0] and len(found[0]) == 91
+
+
 def test_files_are_read(spark, tmp_path):
     import yaml
 
