@@ -434,19 +434,19 @@ def components(docs: DataFrame, n: int, t: Threshold, keys: list[str]) -> DataFr
     sets = bucketed(every.dropDuplicates(["sid"]), "sets", "sid", buckets)
     tried = written(_home_pairs(members, ids, t).distinct(), "home-pairs")
     links = written(_verified(tried, sets, t), "links")
-    near = connected_components(links)
+    near = connected_components(links, task_edges=0)
     some = _between(members, ids, near, t, best=True)
     if not some.isEmpty():
         best = written(some.select("a", "b").distinct().join(tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti"), "best-pairs")
         links = written(links.unionByName(_verified(best, sets, t)), "links")
-        near = connected_components(links)
+        near = connected_components(links, task_edges=0)
         again = members.join(sized(written(some.select("digest").distinct(), "again"), 16), "digest")
         rest = _between(again, ids, near, t, best=False).select("a", "b").distinct()
         both = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).unionByName(best)
         rest = written(rest.join(both, ["a", "b"], "left_anti"), "rest-pairs")
         if not rest.isEmpty():
             links = written(links.unionByName(_verified(rest, sets, t)), "links")
-            near = connected_components(links)
+            near = connected_components(links, task_edges=0)
     discard(ids, sets)
     labels = near.select(F.col("node").alias("sid"), "component")
     return rows.join(sized(labels, 48), "sid", "left").select(*keys, "size", F.coalesce("component", "sid").alias("label"))
