@@ -1,11 +1,14 @@
 import hashlib
 import json
+import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from factloom.operators import entity, trace
-from factloom.plans.evidence import Run
+from factloom.functions.storage import RELEASE, scratch, shared_folder, written
+from factloom.operators import entity, replay, trace
+from factloom.plans.evidence import QUERIES, Run
 
 SF = "/root/testdata/sf0.001"
 VALUES = ["plain text, E-mail and 1.25", "a/b \"q\" \\ tab\t", "line\nfeed", "bell \x07", "del \x7f", "ümlaut", "emoji \U0001f600", "\\u0041", "", "EV-0000001"]
@@ -74,3 +77,62 @@ def test_steps_are_counted_by_their_bytes(spark):
     ids = ["sha256:" + hashlib.sha256(x).hexdigest() for x in (b"a", b"b", b"c")]
     steps = spark.createDataFrame([(ids[0], "x"), (ids[0], "x"), (ids[1], "x"), (ids[2], "y")], "step_id string, op string")
     assert {(r["op"], r["n"]) for r in trace.counts(steps).collect()} == {("x", 2), ("y", 1)}
+
+
+def tables(spark):
+    return set(os.listdir(shared_folder(spark).removeprefix("file://")))
+
+
+@pytest.mark.parametrize("name", ["replay_claims"])
+def test_no_trace_is_left_on_disk(spark, name):
+    """Every table of the trace once stayed in the shared folder: over 40 times the input."""
+    before = tables(spark)
+    QUERIES[name](spark, SF)
+    left = tables(spark) - before
+    assert [t[: len("factloom-result-")] for t in left] == ["factloom-result-"]
+
+
+def test_slices_hold_all_steps_and_their_parents(spark):
+    size, parents = 250, []
+
+    def steps(stages):
+        assert stages.observations.count() < 2 * size
+        made = stages.kept_steps()
+        parents.append(replay.orphans(made).count())
+        return made.select("step_id", "op")
+
+    got = Run(spark, SF, bodies=False).sliced(steps, size=size).distinct()
+    whole = Run(spark, SF, bodies=False).steps().select("step_id", "op").distinct()
+    assert len(parents) > 2 and not any(parents)
+    assert got.exceptAll(whole).isEmpty() and whole.exceptAll(got).isEmpty()
+    assert got.filter("op = 'merge_refused'").count() > 0
+
+
+def test_slices_report_a_missing_parent(spark):
+    def broken(stages):
+        return replay.orphans(stages.steps("claims", "extraction").filter("op <> 'normalize'"))
+
+    run = [Run(spark, SF, bodies=False).sliced(broken, entities, size) for entities, size in ((True, 250), (False, 250), (False, 10**6))]
+    found = [r.select("step_id", "parent").distinct() for r in run]
+    assert found[2].count() > 0
+    assert all(f.exceptAll(found[2]).isEmpty() and found[2].exceptAll(f).isEmpty() for f in found[:2])
+
+
+def test_claims_of_slices_are_those_of_the_whole(spark):
+    def claims(stages):
+        return replay.claims(stages.steps("extraction", "claims"))
+
+    parts, whole = (Run(spark, SF).sliced(claims, False, size) for size in (250, 10**6))
+    assert parts.exceptAll(whole).isEmpty() and whole.exceptAll(parts).isEmpty()
+
+
+def test_scratch_is_deleted_and_settings_return(spark):
+    before, release = tables(spark), spark.conf.get(RELEASE)
+    with pytest.raises(ValueError), scratch(spark) as lasting:
+        kept = lasting(spark.range(5), "kept")
+        with scratch(spark):
+            written(spark.range(3), "gone")
+        written(spark.range(4), "gone")
+        raise ValueError
+    assert [t for t in tables(spark) - before] == [os.path.basename(kept.written_path)]
+    assert kept.count() == 5 and spark.conf.get(RELEASE) == release
