@@ -83,7 +83,7 @@ def tables(spark):
     return set(os.listdir(shared_folder(spark).removeprefix("file://")))
 
 
-@pytest.mark.parametrize("name", ["replay_claims", "replay_differences"])
+@pytest.mark.parametrize("name", ["replay_claims", "replay_differences", "trace_orphans"])
 def test_no_trace_is_left_on_disk(spark, name):
     """Every table of the trace once stayed in the shared folder: over 40 times the input."""
     before = tables(spark)
